@@ -2,10 +2,28 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lexiquarry.llm import language_id
+from lexiquarry.llm.bpe import bpe_digests
 from lexiquarry.llm.common import prepare, table
+from lexiquarry.llm.decontaminate import decontaminate, digests
 from lexiquarry.llm.exact_dedup import exact_dedup
+from lexiquarry.llm.token_count import count_tokens
+
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,12 +31,39 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op7_exact_dedup": op7_exact_dedup}
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return digests(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(~language_id.held_out(F.col("doc_id"))))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op3_bpe, op6_token_count, op7_exact_dedup, op9_decontaminate, op10_language_id)}
 
 ORACLES = {
     "op7_exact_dedup": r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
 FROM t WINDOW w AS (PARTITION BY text_sha256)
+""",
+    "op9_decontaminate": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS s
+  FROM b, LATERAL (SELECT unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i) WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM win),
+places AS (SELECT doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') AS s FROM d, sizes, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS i) WHERE len(w) >= n),
+hit AS (SELECT doc_id, item_id, i, n FROM places JOIN win USING (n, s)),
+word AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hit)) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS s FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN word USING (doc_id) LEFT JOIN items USING (doc_id)
 """,
 }
