@@ -11,6 +11,7 @@ from lexiquarry.llm.bpe import bpe_digests
 from lexiquarry.llm.common import prepare, table
 from lexiquarry.llm.decontaminate import decontaminate, digests
 from lexiquarry.llm.exact_dedup import exact_dedup
+from lexiquarry.llm.minhash import near_duplicates
 from lexiquarry.llm.token_count import count_tokens
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -31,6 +32,11 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("first")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return digests(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
@@ -44,13 +50,25 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op6_token_count, op7_exact_dedup, op9_decontaminate, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op3_bpe, op6_token_count, op7_exact_dedup, op8_near_dedup, op9_decontaminate, op10_language_id)}
 
 ORACLES = {
     "op7_exact_dedup": r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
 FROM t WINDOW w AS (PARTITION BY text_sha256)
+""",
+    "op8_near_dedup": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + least(5, len(w)) - 1], ' ') AS s
+  FROM w, LATERAL (SELECT unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i) WHERE len(w) > 0),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS i FROM sh a JOIN sh b USING (s) WHERE a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT x, y FROM pairs JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * i >= 75 * (p.n + q.n - i)),
+way AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach AS (SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, way.y FROM reach JOIN way ON r = way.x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id) LEFT JOIN n USING (doc_id)
 """,
     "op9_decontaminate": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
