@@ -6,15 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiquarry.llm import language_id
+from lexiquarry.llm import language_id, warc, wavelet
 from lexiquarry.llm.bpe import bpe_digests
-from lexiquarry.llm.common import prepare, table
+from lexiquarry.llm.common import prepare, shared_path, table
 from lexiquarry.llm.decontaminate import decontaminate, digests
 from lexiquarry.llm.exact_dedup import exact_dedup
 from lexiquarry.llm.minhash import near_duplicates
 from lexiquarry.llm.token_count import count_tokens
 
 TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
+
+
+def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    path = shared_path(spark, "shards")
+    wavelet.write_shards(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID)
+    return wavelet.read_shards(spark, path)
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +30,13 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    path = shared_path(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    return warc.read_archives(spark, path).drop("url", "payload")
+
+
 def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -50,9 +65,16 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op3_bpe, op6_token_count, op7_exact_dedup, op8_near_dedup, op9_decontaminate, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_wavelet, op3_bpe, op4_warc, op6_token_count, op7_exact_dedup, op8_near_dedup, op9_decontaminate, op10_language_id)}
 
 ORACLES = {
+    "op4_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+q AS (SELECT page_id, octet_length(encode(html))::BIGINT AS payload_bytes, sha256(html) AS payload_digest FROM p),
+r AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first FROM q)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to FROM r
+""",
     "op7_exact_dedup": r"""
 WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
 SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
