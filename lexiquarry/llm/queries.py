@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lexiquarry.llm import language_id, warc, wavelet
 from lexiquarry.llm.bpe import bpe_digests
+from lexiquarry.llm.chat import format_chats
 from lexiquarry.llm.common import prepare, shared_path, table
 from lexiquarry.llm.decontaminate import decontaminate, digests
 from lexiquarry.llm.exact_dedup import exact_dedup
@@ -37,6 +38,11 @@ def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, path).drop("url", "payload")
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op6_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -65,7 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet, op3_bpe, op4_warc, op6_token_count, op7_exact_dedup, op8_near_dedup, op9_decontaminate, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_wavelet, op3_bpe, op4_warc, op5_chat_format, op6_token_count, op7_exact_dedup, op8_near_dedup, op9_decontaminate, op10_language_id)}
 
 ORACLES = {
     "op4_warc": r"""
