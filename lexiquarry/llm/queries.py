@@ -13,6 +13,7 @@ from lexiquarry.llm.common import prepare, shared_path, table
 from lexiquarry.llm.decontaminate import decontaminate, digests
 from lexiquarry.llm.exact_dedup import exact_dedup
 from lexiquarry.llm.minhash import near_duplicates
+from lexiquarry.llm.substring_dedup import repeated_strings
 from lexiquarry.llm.token_count import count_tokens
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,6 +27,12 @@ def op1_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet.read_shards(spark, path)
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    found = repeated_strings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return bpe_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
@@ -71,7 +78,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_wavelet, op3_bpe, op4_warc, op5_chat_format, op6_token_count, op7_exact_dedup, op8_near_dedup, op9_decontaminate, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_wavelet, op2_substring_dedup, op3_bpe, op4_warc, op5_chat_format, op6_token_count, op7_exact_dedup, op8_near_dedup, op9_decontaminate, op10_language_id)}
 
 ORACLES = {
     "op4_warc": r"""
