@@ -211,3 +211,22 @@ def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(
         digest, f"doc_id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     )
+
+
+def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns `keep`, ids, n_tokens, and whether decoding the ids gives the text again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = encoder(path)
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            ids = [bpe.encode(t) for t in texts]
+            offsets = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            values = pa.array(np.concatenate([*ids, np.empty(0, "<u4")]).astype(np.int32))
+            same = pa.array([bpe.decode(x) == (t or "") for x, t in zip(ids, texts, strict=True)], pa.bool_())
+            columns = [*batch.columns[1:], pa.ListArray.from_arrays(pa.array(offsets), values), pa.array([len(x) for x in ids], pa.int64()), same]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[1:], "ids", "n_tokens", "round_trip"])
+
+    rows = docs.select(text_col, F.col(id_col).alias("doc_id"), *keep)
+    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    return rows.mapInArrow(run, f"{kept}, ids array<int>, n_tokens long, round_trip boolean")

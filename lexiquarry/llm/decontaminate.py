@@ -176,3 +176,23 @@ def digests(found: DataFrame) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """The rows of docs, with their own columns, in which no window of the benchmark occurs."""
+    at = docs.columns.index(text_col)
+
+    def filtering(items: tuple[tuple[str, str | None], ...]):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            machine = automaton(items, window)
+            for batch in batches:
+                yield batch.filter(pa.array([not scan(machine, t)[1] for t in batch.column(at).to_pylist()], pa.bool_()))
+
+        return run
+
+    for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
+        docs = docs.mapInArrow(filtering(items), docs.schema)
+    return docs

@@ -149,3 +149,15 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("doc_id"), text_col).mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with their own columns, whose language is told: not `und`, and likelier than by chance."""
+    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sent.value.predict(t) for t in batch.column(at).to_pylist()]
+            yield batch.filter(pa.array([x != UNKNOWN and y > 1 / len(sent.value.langs) for x, y in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -218,7 +218,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs whose id is the smallest of their component; docs must have no repeated ids."""
-    found = stage(near_duplicates(docs, id_col, text_col), "near")
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("gone_id")), "left_anti")
+    """The rows of docs, with their own columns, that are the first of their component."""
+    ids = docs.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(id_col).alias("ids")).first()
+    key = id_col
+    if ids["rows"] != ids["ids"]:  # null or repeated ids: rows need keys that stay the same
+        key = "_row"
+        docs = stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    found = stage(near_duplicates(docs, key, text_col), "near")
+    gone = found.filter(~F.col("first")).select(F.col("doc_id").alias("_gone"))
+    kept = docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    return kept if key == id_col else kept.drop(key)
