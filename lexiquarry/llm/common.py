@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexiquarry.session import ship, table
+from lexiquarry.session import shared_root, ship, table
 
 __all__ = ["drop", "prepare", "shared_path", "stage", "table"]
 
@@ -19,16 +18,8 @@ def prepare(spark: SparkSession) -> None:
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share.
-
-    That is spark.checkpoint.dir; only where it is unset (tests in one process) is a local folder taken.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="lexiquarry-")
-        spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the folder that driver and executors share."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -36,3 +36,12 @@ def components(links: DataFrame) -> DataFrame:
         drop(edges, large)
         edges = small
     return edges
+
+
+def merge_components(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """labels (u, v), as components() gives them, after further links (a, b). Only components that meet are looked at."""
+    of = lambda x: labels.select(F.col("u").alias(x), F.col("v").alias(f"{x}_root"))
+    roots = links.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    met = components(roots.select(F.coalesce("a_root", "a").alias("a"), F.coalesce("b_root", "b").alias("b")))
+    moved = labels.join(met.select(F.col("u").alias("v"), F.col("v").alias("root")), "v", "left")
+    return stage(moved.select("u", F.coalesce("root", "v").alias("v")).unionByName(met), "labels")

@@ -10,10 +10,11 @@ densification), so that sparse sets agree bin by bin as often as full ones. Band
 the threshold of 0.75 a pair shares no bucket of 32 with probability 5e-6.
 
 In each bucket a star of candidate edges leads from a hub to the other members. Edges are confirmed on full sets, the
-links become components, and members that the hub left apart go into further rounds: former hubs leave the bucket, and
-four times as many members of its rarest components are hubs in each round, compared only with members of other
-components. Rounds end when no bucket holds two components, so every pair in a bucket is either confirmed, refuted or
-known to be connected. No round caps a bucket or emits its pairs at once.
+links become components, and members that the hub left apart go into further rounds: eight times as many members of
+each bucket, those of small components first, are hubs in each round, compared only with members of other components
+in all of their buckets; then they leave. Rounds end when no bucket holds two components, so every pair in a bucket is
+either confirmed, refuted or known to be connected. No round caps a bucket; families whose members lie just under the
+threshold cost as many comparisons as it takes to refute them.
 
 Nulls and empties: documents without words have an empty set, are their own component and linked with nothing. A null
 id takes part like any other; the component's id is its smallest id that is not null. Repeated rows and ids are
@@ -27,11 +28,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiquarry.llm.common import drop, stage
-from lexiquarry.llm.components import components
+from lexiquarry.llm.components import components, merge_components
 
 SHINGLE, BINS, ROWS = 5, 128, 4
 
@@ -146,20 +147,28 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(_verified, "a long, b long, linked boolean")
 
 
-def _stars(members: DataFrame, slots: int, salt: int) -> tuple[DataFrame, DataFrame]:
-    """Hubs (bucket, hub) and candidate pairs (a, b) between components, of buckets with more than one component.
+def _hubs(members: DataFrame, slots: int) -> DataFrame:
+    """(seq) of up to `slots` members of each bucket with more than one component, those of small components first."""
+    slot = F.pmod(F.xxhash64("seq", F.lit(slots)), F.lit(slots)).alias("slot")
+    best = members.groupBy("bucket", slot).agg(F.min(F.struct("size", "seq")).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    bucket = Window.partitionBy("bucket")  # over at most `slots` rows
+    mixed = best.withColumns({"lo": F.min("lo").over(bucket), "hi": F.max("hi").over(bucket)}).filter("lo != hi")
+    return mixed.select("hub.seq").distinct()
 
-    members: (bucket, seq, n, comp). Up to `slots` hubs a bucket, from its rarest components.
-    """
-    by_comp = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("count"))
-    open_ = by_comp.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x != y").select("bucket")
-    alive = members.join(open_, "bucket", "left_semi").join(by_comp, ["bucket", "comp"])
-    slot = F.pmod(F.xxhash64("seq", F.lit(salt)), F.lit(slots))
-    hub = F.min(F.struct("count", "seq", "n", "comp")).alias("hub")
-    hubs = alive.groupBy("bucket", slot.alias("slot")).agg(hub).select("bucket", *(F.col(f"hub.{x}").alias(f"h_{x}") for x in ("seq", "n", "comp")))
+
+def _star_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(a, b): hubs with the members of all their buckets that are of other components and near in size."""
+    centres = members.join(hubs, "seq", "left_semi").select("bucket", *(F.col(x).alias(f"h_{x}") for x in ("seq", "n", "comp")))
     near = (F.col("comp") != F.col("h_comp")) & (4 * F.least("n", "h_n") >= 3 * F.greatest("n", "h_n"))
-    pairs = members.join(hubs, "bucket").filter(near).select(F.least("seq", "h_seq").alias("a"), F.greatest("seq", "h_seq").alias("b")).distinct()
-    return hubs.select("bucket", F.col("h_seq").alias("seq")), pairs
+    return members.join(centres, "bucket").filter(near).select(F.least("seq", "h_seq").alias("a"), F.greatest("seq", "h_seq").alias("b")).distinct()
+
+
+def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """members with comp, their component, and size, its number of vertices; labels: (u, v)."""
+    sizes = labels.groupBy("v").agg((F.count(F.lit(1)) + 1).alias("size"))
+    named = labels.join(sizes, "v").select(F.col("u").alias("seq"), F.col("v").alias("comp"), "size")
+    named = named.unionByName(sizes.select(F.col("v").alias("seq"), F.col("v").alias("comp"), "size"))
+    return members.join(named, "seq", "left").select("bucket", "seq", "n", F.coalesce("comp", "seq").alias("comp"), F.coalesce("size", F.lit(1)).alias("size"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -173,7 +182,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     crowded = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("seq").alias("h_seq"), F.min_by("n", "seq").alias("h_n")).filter("size > 1")
     shared = stage(members.join(crowded, "bucket"), "buckets")
 
-    wanted = signed.select("seq", F.col("doc_id").alias("id"), "lo", "hi").join(shared.select("seq").distinct(), "seq", "left_semi")
+    wanted = signed.select("seq", F.col("doc_id").alias("id"), "lo", "hi").join(shared.select("seq"), "seq", "left_semi")
     wanted = stage(wanted, "wanted")
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
@@ -182,24 +191,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     near = (F.col("seq") != F.col("h_seq")) & (4 * F.least("n", "h_n") >= 3 * F.greatest("n", "h_n"))
     pairs = shared.filter(near).select(F.col("h_seq").alias("a"), F.col("seq").alias("b")).distinct()
-    tried = stage(verify(pairs, sets), "tried")
-    labels = components(tried.filter("linked").select("a", "b"))
+    links = stage(verify(pairs, sets).filter("linked").select("a", "b"), "links")
+    labels = components(links)
     left = shared.filter(F.col("seq") != F.col("h_seq")).filter("size > 2").select("bucket", "seq", "n")
-    slots = 1
+    slots = 4
     while True:
-        comp = left.join(labels.withColumnRenamed("u", "seq"), "seq", "left").select("bucket", "seq", "n", F.coalesce("v", "seq").alias("comp"))
-        comp = stage(comp, "members")
-        hubs, pairs = _stars(comp, slots, slots)
-        hubs = stage(hubs, "hubs")
+        members = stage(_with_components(left, labels), "members")
+        hubs = stage(_hubs(members, slots), "hubs")
         if hubs.isEmpty():
             break
-        new = stage(verify(stage(pairs.join(tried, ["a", "b"], "left_anti"), "pairs"), sets), "tried")
-        tried = tried.unionByName(new)
-        links = new.filter("linked")
+        links = stage(verify(stage(_star_pairs(members, hubs), "pairs"), sets).filter("linked").select("a", "b"), "links")
         if not links.isEmpty():
-            labels = components(links.select("a", "b").unionByName(labels.toDF("a", "b")))
-        left = comp.join(hubs.select("bucket").distinct(), "bucket", "left_semi").join(hubs, ["bucket", "seq"], "left_anti").drop("comp")
-        slots *= 4
+            labels = merge_components(labels, links)
+        # A hub has met all members of its buckets and need not be looked at again.
+        left = members.join(hubs, "seq", "left_anti").select("bucket", "seq", "n")
+        slots *= 8
     drop(sets)
 
     of_rep = groups.join(labels.withColumnRenamed("u", "rep"), "rep", "left").select("lo", "hi", F.coalesce("v", "rep").alias("comp"))
