@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Entries kept in the memo of pieces, and in that of fragments; when full a memo starts anew.
-MEMO = (800_000, 200_000)
+MEMO = (2_000_000, 300_000)
 
 #: The byte-level pattern of this kind of vocabulary, in the library's order.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -50,15 +50,19 @@ def byte_alphabet() -> dict[int, str]:
 
 
 class _Memo(dict):
-    """A dict that computes what it lacks and starts anew when it is full."""
+    """A dict that computes what it lacks. When it is full its entries become the old generation, which is still
+    looked at, and the old ones go: what is used stays."""
 
     def __init__(self, compute, most: int):
         super().__init__()
-        self.compute, self.most = compute, most
+        self.compute, self.most, self.old = compute, most // 2, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.old.get(key, self)
+        if value is self:
+            value = self.compute(key)
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -98,6 +102,7 @@ class ForcedBoundaryBPE:
         #: inside[a, b]: some vocabulary token holds byte a followed by byte b.
         self.inside = inside
         self._inside = inside.tobytes()
+        self._pairs = set(map(tuple, np.argwhere(inside).tolist()))
         self._shown = str.maketrans({chr(b): c for b, c in alphabet.items()})
         self._hidden = str.maketrans({c: chr(b) for b, c in alphabet.items()})
         self._special = re.compile("|".join(map(re.escape, sorted((t["content"] for t in added), key=len, reverse=True)))) if added else None
@@ -114,10 +119,10 @@ class ForcedBoundaryBPE:
         """word, cut at every byte pair that no vocabulary token holds."""
         if len(word) < 2:
             return [word] if word else []
+        if self._pairs.issuperset(zip(word, word[1:], strict=False)):
+            return [word]
         inside = self._inside
         cuts = [k for k, (a, b) in enumerate(zip(word, word[1:], strict=False), 1) if not inside[a << 8 | b]]
-        if not cuts:
-            return [word]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
 
     def _encode_words(self, text: str) -> bytes:
@@ -128,7 +133,12 @@ class ForcedBoundaryBPE:
         return b"".join(self._fragments[f] for w in words for f in self.fragments(w))
 
     def _piece(self, piece: str) -> bytes | None:
-        return None if piece[-1:].isspace() else self._whole(piece)
+        last = piece[-1:]
+        if last.isspace():
+            return None
+        if last in ".,;:" and piece[-2:-1].isalpha():  # a word, then a mark of its own
+            return self._pieces[piece[:-1]] + self._pieces[last]
+        return self._whole(piece)
 
     def _whole(self, piece: str) -> bytes:
         """A piece that begins and ends at certain boundaries, or a whole text."""
