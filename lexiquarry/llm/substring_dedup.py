@@ -7,14 +7,14 @@ the same anchor at the same place, and comparing suffixes at anchors finds every
 order of the hash of their first GRAM bytes; equality of such prefixes is all that the scans below ask for.
 
 Batches arrive one after the other. Each gets the directory of its suffixes, sorted by prefix, and is merge-scanned
-(a sort-merge join) against every level of the family for prefixes that both have; then it becomes a level itself, and
-levels made of equally many batches merge until no two are of one size, so that n batches stand in at most log n + 1
-levels and a prefix is rewritten log n times. Directories hold a prefix once, however often it occurs.
+against every level of the family for prefixes that both have; levels made of equally many batches merge in the same
+scan until no two are of one size, so that n batches stand in at most log n + 1 levels and a prefix is rewritten log n
+times. Directories hold a prefix once, however often it occurs.
 
-Suffixes with repeated prefixes are then settled exactly. An anchor's environment are the bytes of all windows around
-it. If another anchor has the same environment, all of it is removed. Otherwise the environments of its prefix are
-compared byte by byte: in groups of up to `GROUP` in one task, in larger ones by the hashes of their windows, which are
-dealt out and counted like any other rows.
+Suffixes with repeated prefixes are then settled exactly. Each window belongs to the one anchor with its least gram;
+an anchor's environment are the bytes of its windows. If another anchor has the same environment, all of it is removed.
+Otherwise the environments of a prefix are compared: byte by byte in groups of up to `GROUP` in one task, in larger ones
+by the hashes of their windows, which are dealt out and counted like any other rows.
 
 Documents that are copies of each other are removed entirely (from `length` bytes on) and indexed once, so groups of
 copies do not reach the index.
@@ -38,8 +38,8 @@ from pyspark.sql import types as T
 from lexiquarry.llm.common import drop, stage
 
 LENGTH, GRAM, BATCHES, GROUP = 200, 32, 4, 256
-#: Entries that a broadcast to the texts may hold; beyond it both sides shuffle.
-BROADCAST_ROWS = 500_000
+#: Entries of a few numbers each that a broadcast may hold; beyond it both sides shuffle.
+BROADCAST_ROWS = 1_000_000
 #: Windows looked at in one go.
 CHUNK = 1 << 20
 
@@ -65,8 +65,8 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[size][0][:n], _powers[size][1][:n]
 
 
-def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
-    """Ascending places of the suffixes to index."""
+def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the suffixes to index, ascending, and the first and the last window that belong to each."""
     width, n = length - gram + 1, len(data)
     found = []
     for start in range(0, n - length + 1, CHUNK):
@@ -88,13 +88,14 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
         if span < width:
             order = np.minimum(order[: len(order) - (width - span)], order[width - span :])
         at = (order & np.uint64(0xFFFFFF)).astype(np.int64)
-        found.append(start + at[np.r_[True, at[1:] != at[:-1]]])
-    return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
-
-
-def environment(n: int, at: int, length: int = LENGTH, gram: int = GRAM) -> tuple[int, int]:
-    """The bytes of all windows around the anchor `at` of a text of n bytes."""
-    return max(0, at - (length - gram)), min(n, at + length)
+        new = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        found.append((start + at[new], start + new))
+    if not found:
+        return (np.empty(0, np.int64),) * 3
+    places, first = (np.concatenate(x) for x in zip(*found, strict=True))
+    new = np.flatnonzero(np.r_[True, places[1:] != places[:-1]])  # a chunk may begin within an anchor's windows
+    places, first = places[new], first[new]
+    return places, first, np.r_[first[1:] - 1, n - length]
 
 
 def common_windows(envs: list[tuple[bytes, int]], length: int = LENGTH) -> list[list[tuple[int, int]]]:
@@ -107,7 +108,7 @@ def common_windows(envs: list[tuple[bytes, int]], length: int = LENGTH) -> list[
         left = _common(np.frombuffer(x, np.uint8)[:p][::-1], np.frombuffer(y, np.uint8)[:q][::-1])
         run = [(length - right, left)] if right + left >= length else []
         return [[(max(0, a), b) for a, b in run]] * 2
-    seen: dict[tuple[int, bytes], list[int]] = {}
+    seen: dict[tuple[int, int], list[int]] = {}
     for k, (x, p) in enumerate(envs):
         for d, window in windows(x, p, length):
             seen.setdefault((d, window), []).append(k)
@@ -121,11 +122,10 @@ def common_windows(envs: list[tuple[bytes, int]], length: int = LENGTH) -> list[
     return out
 
 
-def windows(env: bytes, at: int, length: int = LENGTH) -> Iterator[tuple[int, bytes]]:
-    """Distance to the anchor and 128-bit hash of each window of an environment."""
-    for i in range(max(0, len(env) - length + 1)):
-        if i <= at:
-            yield at - i, xxhash.xxh3_128_digest(env[i : i + length])
+def windows(env: bytes, at: int, length: int = LENGTH) -> Iterator[tuple[int, int]]:
+    """Distance to the anchor and hash of each window of an environment."""
+    for i in range(len(env) - length + 1):
+        yield at - i, xxhash.xxh3_64_intdigest(env[i : i + length], seed=at - i) - 2**63
 
 
 def runs(values: list[int]) -> list[tuple[int, int]]:
@@ -156,22 +156,32 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
+_SUFFIX = ["key", "at", "back", "span", "prefix", "env"]
+
+
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, at, prefix, env) of each indexed suffix."""
+    """(key, at, back, span, prefix, env) of each indexed suffix: its windows begin from at - back to at - back + span."""
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+
+    def out(rows: tuple[list, ...]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, types, strict=True)], _SUFFIX)
+
+    rows: tuple[list, ...] = tuple([] for _ in types)
     for batch in batches:
-        rows: tuple[list, list, list, list] = ([], [], [], [])
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             data = (text or "").encode()
-            for at in anchors(data).tolist():
-                a, b = environment(len(data), at)
+            found = [x.tolist() for x in anchors(data)]
+            for at, first, last in zip(*found, strict=True):
                 rows[0].append(key)
                 rows[1].append(at)
-                rows[2].append(xxhash.xxh3_64_intdigest(data[at : at + GRAM]) - 2**63)
-                rows[3].append(xxhash.xxh3_64_intdigest(data[a:b], seed=at - a) - 2**63)
+                rows[2].append(at - first)
+                rows[3].append(last - first)
+                rows[4].append(xxhash.xxh3_64_intdigest(data[at : at + GRAM]) - 2**63)
+                rows[5].append(xxhash.xxh3_64_intdigest(data[first : last + LENGTH], seed=at - first) - 2**63)
             if len(rows[0]) > 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in rows], ["key", "at", "prefix", "env"])
-                rows = ([], [], [], [])
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in rows], ["key", "at", "prefix", "env"])
+                yield out(rows)
+                rows = tuple([] for _ in types)
+    yield out(rows)
 
 
 class Family:
@@ -183,17 +193,19 @@ class Family:
     def add(self, suffixes: DataFrame) -> DataFrame:
         """Index a batch; gives the prefixes that it repeats, in itself or in a level."""
         new = stage(suffixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).sortWithinPartitions("prefix"), "directory")
-        repeated = new.filter("n > 1").select("prefix")
-        for _, level in self.levels:
-            repeated = repeated.unionByName(new.select("prefix").join(level.select("prefix"), "prefix"))
-        repeated = stage(repeated, "repeated")
+        scanned = [level for size, level in self.levels]
         size = 1
-        while self.levels and self.levels[-1][0] == size:
+        while self.levels and self.levels[-1][0] == size:  # merging scans, too: a prefix of both adds up to 2 or more
             _, old = self.levels.pop()
+            scanned.remove(old)
             both = old.unionByName(new).groupBy("prefix").agg(F.sum("n").alias("n")).sortWithinPartitions("prefix")
             both = stage(both, "level")
             drop(old, new)
             new, size = both, 2 * size
+        repeated = new.filter("n > 1").select("prefix")
+        for level in scanned:
+            repeated = repeated.unionByName(new.select("prefix").join(level.select("prefix"), "prefix"))
+        repeated = stage(repeated, "repeated")
         self.levels.append((size, new))
         return repeated
 
@@ -203,13 +215,14 @@ def _environments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         out: tuple[list, list, list, list, list] = ([], [], [], [], [])
         size = 0
-        for text, wanted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for text, wanted in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             data = text.encode()
             for x in wanted:
-                a, b = environment(len(data), x["at"])
-                for to, v in zip(out, (x["prefix"], x["env"], x["at"] - a, data[a:b], x["many"]), strict=True):
+                first = x["at"] - x["back"]
+                last = first + x["span"]
+                for to, v in zip(out, (x["prefix"], x["env"], x["back"], data[first : last + LENGTH], x["many"]), strict=True):
                     to.append(v)
-                size += b - a
+                size += last + LENGTH - first
             if size > 8_000_000:
                 yield _env_batch(out)
                 out, size = ([], [], [], [], []), 0
@@ -234,12 +247,12 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
+        out: tuple[list, list, list, list] = ([], [], [], [])
         for prefix, env, p, raw in zip(*(c.to_pylist() for c in batch.columns[:4]), strict=True):
             d, hashes = zip(*windows(raw, p), strict=True)
-            n = len(d)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([prefix] * n, pa.int64()), pa.array([env] * n, pa.int64()), pa.array(d, pa.int64()), pa.array(hashes, pa.binary())], ["prefix", "env", "d", "window"]
-            )
+            for to, v in zip(out, ([prefix] * len(d), [env] * len(d), d, hashes), strict=True):
+                to.extend(v)
+        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64()), strict=True)], ["prefix", "env", "d", "window"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,33 +290,36 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     copies = stage(copies, "not-indexed")
     firsts = texts.filter(F.octet_length("text") >= LENGTH).join(_small(copies, copies.count()), "key", "left_anti")
 
-    suffixes = firsts.mapInArrow(_suffixes, "key long, at long, prefix long, env long")
-    suffixes = suffixes.withColumns({"at": F.col("at").cast("int"), "batch": F.pmod(F.xxhash64("key"), F.lit(batches))})
-    suffixes = stage(suffixes, "suffixes")
+    suffixes = firsts.mapInArrow(_suffixes, "key long, at int, back int, span int, prefix long, env long")
+    suffixes = stage(suffixes.withColumn("batch", F.pmod(F.xxhash64("key"), F.lit(batches)).cast("byte")), "suffixes")
     family, repeated = Family(), None
     for k in range(batches):
         found = family.add(suffixes.filter(F.col("batch") == k))
         repeated = found if repeated is None else repeated.unionByName(found)
     for _, level in family.levels:
         drop(level)
-    matched = stage(suffixes.drop("batch").join(repeated.distinct(), "prefix", "left_semi"), "matched")
+    repeated = stage(repeated.distinct(), "prefixes")
+    matched = stage(suffixes.drop("batch").join(_small(repeated, repeated.count()), "prefix", "left_semi"), "matched")
     drop(suffixes)
 
-    by_env = stage(matched.groupBy("prefix", "env").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one")), "environments")
+    one = F.min(F.struct("key", "at", "back", "span")).alias("one")
+    by_env = stage(matched.groupBy("prefix", "env").agg(F.count(F.lit(1)).alias("n"), one), "environments")
     whole = matched.join(by_env.filter("n > 1").select("prefix", "env"), ["prefix", "env"], "left_semi")
-    whole = whole.select("key", (F.col("at") - (LENGTH - GRAM)).cast("long").alias("a"), (F.col("at") + LENGTH).cast("long").alias("b"))
+    first = (F.col("at") - F.col("back")).cast("long")
+    whole = whole.select("key", first.alias("a"), (first + F.col("span") + LENGTH).alias("b"))
 
     mixed = by_env.groupBy("prefix").agg(F.count(F.lit(1)).alias("envs")).filter("envs > 1")
-    wanted = by_env.join(mixed, "prefix").select(F.col("one.key").alias("key"), F.struct(F.col("one.at").alias("at"), "prefix", "env", (F.col("envs") > GROUP).alias("many")).alias("x"))
+    wanted = by_env.join(mixed, "prefix").select(F.col("one.key").alias("key"), F.struct("one.at", "one.back", "one.span", "prefix", "env", (F.col("envs") > GROUP).alias("many")).alias("x"))
     wanted = stage(wanted.groupBy("key").agg(F.collect_list("x").alias("wanted")), "wanted")
     size = wanted.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0]
-    envs = texts.join(_small(wanted, size), "key").select("text", "wanted").mapInArrow(_environments, "prefix long, env long, p long, bytes binary, many boolean")
-    envs = stage(envs, "bytes")
+    envs = texts.join(_small(wanted, size), "key").select("text", "wanted")
+    envs = stage(envs.mapInArrow(_environments, "prefix long, env long, p long, bytes binary, many boolean"), "bytes")
     some = envs.filter("not many").groupBy("prefix").agg(F.collect_list(F.struct("env", "p", "bytes")).alias("members"))
     partial = some.mapInArrow(_compare, "prefix long, env long, near long, far long")
-    each = envs.filter("many").mapInArrow(_windows, "prefix long, env long, d long, window binary")
-    twice = each.groupBy("prefix", "d", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    partial = partial.unionByName(each.join(twice, ["prefix", "d", "window"], "left_semi").select("prefix", "env", F.col("d").alias("near"), F.col("d").alias("far")))
+    each = envs.filter("many").mapInArrow(_windows, "prefix long, env long, d int, window long")
+    twice = stage(each.groupBy("prefix", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "windows")
+    d = F.col("d").cast("long")
+    partial = partial.unionByName(each.join(_small(twice, twice.count()), ["prefix", "window"], "left_semi").select("prefix", "env", d.alias("near"), d.alias("far")))
     partial = partial.join(by_env.filter("n = 1"), ["prefix", "env"])
     at = F.col("one.at").cast("long")
     partial = partial.select(F.col("one.key").alias("key"), (at - F.col("far")).alias("a"), (at - F.col("near") + LENGTH).alias("b"))
