@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from lexiquarry.functions.tokens import count_tokens
 from lexiquarry.operators import kernel, scopes
 from lexiquarry.plans import corpus, training_pairs
 from lexiquarry.plans.corpus import BLANKED, COLLAPSED, LF, MASKED, RECOVERED, RENAMED, RENAMED_BLANK, REPAIRED, SOURCE, oracle, sources
-from lexiquarry.session import table
+from lexiquarry.session import shared_root, table
 from lexiquarry.sources import files, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -218,10 +219,7 @@ def _literal_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _nation_dir(spark: SparkSession, sf_dir: str, text: str) -> str:
-    import tempfile
-
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lexiquarry-")
-    path = f"{root.rstrip('/')}/nations-{abs(hash((sf_dir, text, id(text)))):x}-{spark.sparkContext.startTime}"
+    path = f"{shared_root(spark)}/nations-{uuid.uuid4().hex}"
     nations = table(spark, sf_dir, "nation").select(F.concat("n_name", F.lit(".java")).alias("source_file"), F.expr(text).alias("text"))
     sinks.export_files(nations, path)
     return path

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,10 +25,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def local_session(app: str, cpus: int | str = 8, memory: str = "8g") -> SparkSession:
+def shared_root(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Only where that is unset (tests, one process) a local folder is made.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexiquarry-"))
+        root = spark.sparkContext.getCheckpointDir()
+    return root.rstrip("/")
+
+
+def local_session(app: str, cpus: int | str = 8, memory: str = "8g", **conf: str) -> SparkSession:
     """A local session with the settings the tests and the bench use."""
     return (
         SparkSession.builder.master(f"local[{cpus}]")
+        .config(map=conf)
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.session.timeZone", "UTC")

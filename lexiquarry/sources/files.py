@@ -10,13 +10,16 @@ from lexiquarry.functions.repair import strip
 #: Shares of a corpus by size letter.
 SIZES = {"s": 0.1, "m": 0.5, "l": 1.0}
 
+#: What the binary file source gives.
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
 
 def java_files(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
     """(source_file, path, content) of the files of a flat directory that end in .java, in any case.
 
     Content is only read when it is used. Spark hides files whose names begin with '_' or '.'.
     """
-    reader = spark.readStream if stream else spark.read
+    reader = spark.readStream.schema(FILES) if stream else spark.read
     files = reader.format("binaryFile").option("pathGlobFilter", "?*.[jJ][aA][vV][aA]").option("recursiveFileLookup", "false").load(path)
     return files.select(F.element_at(F.split("path", "/"), -1).alias("source_file"), "path", "content")
 
