@@ -5,10 +5,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lexiquarry.session import shared_root, ship, table
 
-__all__ = ["drop", "prepare", "shared_path", "stage", "table"]
+__all__ = ["drop", "prepare", "shared_path", "small", "stage", "table"]
 
 
 def prepare(spark: SparkSession) -> None:
@@ -29,6 +30,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few numbers or a digest each that a broadcast may hold.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, rows: int | None = None, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df with a broadcast hint if it has at most `most` rows; larger, its joins shuffle both sides."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df
+
+
 def drop(*frames: DataFrame) -> None:
     """Delete the files behind staged frames that nothing reads any more."""
     for df in frames:

@@ -31,14 +31,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiquarry.llm.common import drop, stage
+from lexiquarry.llm.common import drop, small, stage
 from lexiquarry.llm.components import components, merge_components
 
 SHINGLE, BINS, ROWS = 5, 128, 4
 
-#: Rows of (key, id) that a broadcast may hold when the texts of candidates are fetched; beyond it both sides shuffle.
-BROADCAST_ROWS = 500_000
-
 _rng = np.random.default_rng(20_11)
 _WEIGHTS = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ROW_WEIGHTS = _rng.integers(1, 2**63, (BINS // ROWS, ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -184,9 +181,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     wanted = signed.select("seq", F.col("doc_id").alias("id"), "lo", "hi").join(shared.select("seq"), "seq", "left_semi")
     wanted = stage(wanted, "wanted")
-    if wanted.count() <= BROADCAST_ROWS:
-        wanted = F.broadcast(wanted)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(wanted, F.col("doc_id").eqNullSafe(F.col("id")))
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(small(wanted), F.col("doc_id").eqNullSafe(F.col("id")))
     sets = stage(texts.select("seq", "lo", "hi", "text").mapInArrow(_sets, "seq long, elements binary"), "elements")
 
     near = (F.col("seq") != F.col("h_seq")) & (4 * F.least("n", "h_n") >= 3 * F.greatest("n", "h_n"))
@@ -232,5 +227,5 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         docs = stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
     found = stage(near_duplicates(docs, key, text_col), "near")
     gone = found.filter(~F.col("first")).select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    kept = docs.join(small(gone), F.col(key) == F.col("_gone"), "left_anti")
     return kept if key == id_col else kept.drop(key)

@@ -35,11 +35,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiquarry.llm.common import drop, stage
+from lexiquarry.llm.common import BROADCAST_ROWS, drop, small, stage
 
 LENGTH, GRAM, BATCHES, GROUP = 200, 32, 4, 256
-#: Entries of a few numbers each that a broadcast may hold; beyond it both sides shuffle.
-BROADCAST_ROWS = 1_000_000
 #: Windows looked at in one go.
 CHUNK = 1 << 20
 
@@ -270,10 +268,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), kind, pa.string()), strict=True)], ["key", "n_removed", "spans", "kept_sha256"])
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
-
-
 def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", batches: int = BATCHES) -> DataFrame:
     """One row per row of docs: doc_id, n_bytes, n_removed, spans (removed bytes [a, b)), kept_sha256."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -288,7 +282,7 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = stage(about.groupBy("sha").agg(F.min("key").alias("rep"), F.count(F.lit(1)).alias("copies")), "copies")
     copies = about.join(groups.filter("copies > 1"), "sha").filter("key != rep").select("key")
     copies = stage(copies, "not-indexed")
-    firsts = texts.filter(F.octet_length("text") >= LENGTH).join(_small(copies, copies.count()), "key", "left_anti")
+    firsts = texts.filter(F.octet_length("text") >= LENGTH).join(small(copies), "key", "left_anti")
 
     suffixes = firsts.mapInArrow(_suffixes, "key long, at int, back int, span int, prefix long, env long")
     suffixes = stage(suffixes.withColumn("batch", F.pmod(F.xxhash64("key"), F.lit(batches)).cast("byte")), "suffixes")
@@ -299,7 +293,7 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     for _, level in family.levels:
         drop(level)
     repeated = stage(repeated.distinct(), "prefixes")
-    matched = stage(suffixes.drop("batch").join(_small(repeated, repeated.count()), "prefix", "left_semi"), "matched")
+    matched = stage(suffixes.drop("batch").join(small(repeated, most=2 * BROADCAST_ROWS), "prefix", "left_semi"), "matched")
     drop(suffixes)
 
     one = F.min(F.struct("key", "at", "back", "span")).alias("one")
@@ -312,21 +306,21 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     wanted = by_env.join(mixed, "prefix").select(F.col("one.key").alias("key"), F.struct("one.at", "one.back", "one.span", "prefix", "env", (F.col("envs") > GROUP).alias("many")).alias("x"))
     wanted = stage(wanted.groupBy("key").agg(F.collect_list("x").alias("wanted")), "wanted")
     size = wanted.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0]
-    envs = texts.join(_small(wanted, size), "key").select("text", "wanted")
+    envs = texts.join(small(wanted, size), "key").select("text", "wanted")
     envs = stage(envs.mapInArrow(_environments, "prefix long, env long, p long, bytes binary, many boolean"), "bytes")
     some = envs.filter("not many").groupBy("prefix").agg(F.collect_list(F.struct("env", "p", "bytes")).alias("members"))
     partial = some.mapInArrow(_compare, "prefix long, env long, near long, far long")
     each = envs.filter("many").mapInArrow(_windows, "prefix long, env long, d int, window long")
     twice = stage(each.groupBy("prefix", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "windows")
     d = F.col("d").cast("long")
-    partial = partial.unionByName(each.join(_small(twice, twice.count()), ["prefix", "window"], "left_semi").select("prefix", "env", d.alias("near"), d.alias("far")))
+    partial = partial.unionByName(each.join(small(twice), ["prefix", "window"], "left_semi").select("prefix", "env", d.alias("near"), d.alias("far")))
     partial = partial.join(by_env.filter("n = 1"), ["prefix", "env"])
     at = F.col("one.at").cast("long")
     partial = partial.select(F.col("one.key").alias("key"), (at - F.col("far")).alias("a"), (at - F.col("near") + LENGTH).alias("b"))
 
     spans = stage(whole.unionByName(partial).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
     size = spans.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0]
-    cut = texts.join(_small(spans, size), "key").select("key", "text", "spans")
+    cut = texts.join(small(spans, size), "key").select("key", "text", "spans")
     cut = stage(cut.mapInArrow(_cut, "key long, n_removed long, spans array<struct<a:long,b:long>>, kept_sha256 string"), "cut")
 
     placed = about.join(groups, "sha").join(cut.withColumnRenamed("key", "rep"), "rep", "left")

@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiquarry.llm.common import stage
+from lexiquarry.llm.common import small, stage
 
 #: Magic numbers of a frame, of the dictionary's skippable frame, and an empty skippable frame as text.
 FRAME_MAGIC, DICT_MAGIC, SEPARATOR = 0xFD2FB528, 0x184D2A5D, "P*M\x18\0\0\0\0"
@@ -36,7 +36,6 @@ FRAME_MAGIC, DICT_MAGIC, SEPARATOR = 0xFD2FB528, 0x184D2A5D, "P*M\x18\0\0\0\0"
 LEAST_BYTES, ARCHIVE_BYTES = 100, 16_000_000
 #: The dictionary's size, and the sample it is trained on: so many pages, so many characters of each.
 DICT_BYTES, DICT_PAGES, DICT_CHARS = 65_536, 400, 20_000
-BROADCAST_ROWS = 200_000
 DATE = "1970-01-01T00:00:00Z"
 
 _SCHEMA = "page_id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string, payload binary"
@@ -156,9 +155,7 @@ def write_archives(
         F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(payload_col), F.lit("")).cast("binary").alias("payload")
     ).withColumns({"size": F.octet_length("payload").cast("long"), "digest": F.sha2("payload", 256)})
     copies = rows.filter(F.col("size") >= least_bytes).groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    copies = stage(copies.filter("n > 1").select("digest", "first"), "copies")
-    if copies.count() <= BROADCAST_ROWS:
-        copies = F.broadcast(copies)
+    copies = small(stage(copies.filter("n > 1").select("digest", "first"), "copies"))
     target = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).cast("string")
     rows = rows.join(copies, "digest", "left").select(F.col("page_id").cast("string"), "url", "payload", "size", "digest", target.alias("target"))
     dictionary = train(pages, id_col, payload_col)
