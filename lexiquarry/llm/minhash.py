@@ -10,11 +10,12 @@ densification), so that sparse sets agree bin by bin as often as full ones. Band
 the threshold of 0.75 a pair shares no bucket of 32 with probability 5e-6.
 
 In each bucket a star of candidate edges leads from a hub to the other members. Edges are confirmed on full sets, the
-links become components, and members that the hub left apart go into further rounds: eight times as many members of
-each bucket, those of small components first, are hubs in each round, compared only with members of other components
-in all of their buckets; then they leave. Rounds end when no bucket holds two components, so every pair in a bucket is
-either confirmed, refuted or known to be connected. No round caps a bucket; families whose members lie just under the
-threshold cost as many comparisons as it takes to refute them.
+links become components, and members that the hub left apart go into further rounds. First those go that cannot be
+linked to any other: a shingle that no other member left has is in no intersection, and a link needs three quarters of
+a set to be shared. Then eight times as many members of each bucket, those of small components first, are hubs in each
+round, compared only with members of other components in all of their buckets whose shared shingles could be enough;
+then they leave. Rounds end when no bucket holds two components, so every pair in a bucket is either confirmed, refuted
+or known to be connected. No round caps a bucket.
 
 Nulls and empties: documents without words have an empty set, are their own component and linked with nothing. A null
 id takes part like any other; the component's id is its smallest id that is not null. Repeated rows and ids are
@@ -154,9 +155,10 @@ def _hubs(members: DataFrame, slots: int) -> DataFrame:
 
 
 def _star_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
-    """(a, b): hubs with the members of all their buckets that are of other components and near in size."""
-    centres = members.join(hubs, "seq", "left_semi").select("bucket", *(F.col(x).alias(f"h_{x}") for x in ("seq", "n", "comp")))
-    near = (F.col("comp") != F.col("h_comp")) & (4 * F.least("n", "h_n") >= 3 * F.greatest("n", "h_n"))
+    """(a, b): hubs with the members of all their buckets that are of other components and could be linked."""
+    centres = members.join(hubs, "seq", "left_semi").select("bucket", *(F.col(x).alias(f"h_{x}") for x in ("seq", "n", "m", "comp")))
+    # 100 i >= 75 (n + h_n - i), where the intersection i cannot exceed what either side may share with anyone.
+    near = (F.col("comp") != F.col("h_comp")) & (7 * F.least("m", "h_m") >= 3 * (F.col("n") + F.col("h_n")))
     return members.join(centres, "bucket").filter(near).select(F.least("seq", "h_seq").alias("a"), F.greatest("seq", "h_seq").alias("b")).distinct()
 
 
@@ -165,7 +167,28 @@ def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
     sizes = labels.groupBy("v").agg((F.count(F.lit(1)) + 1).alias("size"))
     named = labels.join(sizes, "v").select(F.col("u").alias("seq"), F.col("v").alias("comp"), "size")
     named = named.unionByName(sizes.select(F.col("v").alias("seq"), F.col("v").alias("comp"), "size"))
-    return members.join(named, "seq", "left").select("bucket", "seq", "n", F.coalesce("comp", "seq").alias("comp"), F.coalesce("size", F.lit(1)).alias("size"))
+    return members.join(named, "seq", "left").withColumns({"comp": F.coalesce("comp", "seq"), "size": F.coalesce("size", F.lit(1))})
+
+
+def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for seq, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            s = np.frombuffer(raw.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(np.full(len(s), seq))], ["shingle", "seq"])
+
+
+def _linkable(left: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """(bucket, seq, n, m) of the members of buckets with more than one component that could be linked to another.
+
+    m: shingles that some other such member has, too. A link needs three quarters of a set to be shared.
+    """
+    members = stage(_with_components(left, labels).select("bucket", "seq", "n", "comp"), "members")
+    mixed = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("bucket")
+    members = stage(members.join(mixed, "bucket", "left_semi").select("bucket", "seq", "n"), "mixed")
+    shingles = sets.join(members.select("seq").distinct(), "seq", "left_semi").select("seq", "elements").mapInArrow(_shingles, "shingle long, seq long")
+    once = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("count"), F.min("seq").alias("seq")).filter("count = 1")
+    alone = once.groupBy("seq").agg(F.count(F.lit(1)).alias("alone"))
+    return members.join(alone, "seq", "left").select("bucket", "seq", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m")).filter("100 * m >= 75 * n")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -189,6 +212,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = stage(verify(pairs, sets).filter("linked").select("a", "b"), "links")
     labels = components(links)
     left = shared.filter(F.col("seq") != F.col("h_seq")).filter("size > 2").select("bucket", "seq", "n")
+    left = stage(_linkable(left, labels, sets), "linkable")
     slots = 4
     while True:
         members = stage(_with_components(left, labels), "members")
@@ -199,7 +223,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if not links.isEmpty():
             labels = merge_components(labels, links)
         # A hub has met all members of its buckets and need not be looked at again.
-        left = members.join(hubs, "seq", "left_anti").select("bucket", "seq", "n")
+        left = members.join(hubs, "seq", "left_anti").select("bucket", "seq", "n", "m")
         slots *= 8
     drop(sets)
 
