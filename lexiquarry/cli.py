@@ -5,8 +5,10 @@ from __future__ import annotations
 import argparse
 import sys
 
+from pyspark.sql import SparkSession
+
 from lexiquarry.plans import training_pairs
-from lexiquarry.session import local_session, ship
+from lexiquarry.session import ship
 from lexiquarry.sources import files, sinks
 
 
@@ -27,7 +29,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(args: list[str] | None = None) -> int:
     options = parser().parse_args(args)
-    spark = local_session("lexiquarry", "*")
+    spark = SparkSession.builder.appName("lexiquarry").getOrCreate()  # the master is spark-submit's, or local
     ship(spark)
     if options.command == "classes":
         sinks.write_texts(files.classes_of(spark, options.file, options.size), options.dir)
