@@ -35,9 +35,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiquarry.llm.common import BROADCAST_ROWS, drop, small, stage
+from lexiquarry.llm.common import drop, small, stage
 
-LENGTH, GRAM, BATCHES, GROUP = 200, 32, 4, 256
+LENGTH, GRAM, BATCHES = 200, 32, 4
+#: Distinct environments of a prefix that are compared in one task: 6 MB of their bytes at most.
+GROUP = 16_384
 #: Windows looked at in one go.
 CHUNK = 1 << 20
 
@@ -99,25 +101,21 @@ def anchors(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.nda
 def common_windows(envs: list[tuple[bytes, int]], length: int = LENGTH) -> list[list[tuple[int, int]]]:
     """For each distinct environment (bytes, place of its anchor): runs [from, to] of distances from window to anchor
     at which another environment has the same window."""
-    out: list[list[tuple[int, int]]] = []
     if len(envs) == 2:
         (x, p), (y, q) = envs
         right = _common(np.frombuffer(x, np.uint8)[p:], np.frombuffer(y, np.uint8)[q:])
         left = _common(np.frombuffer(x, np.uint8)[:p][::-1], np.frombuffer(y, np.uint8)[:q][::-1])
         run = [(length - right, left)] if right + left >= length else []
         return [[(max(0, a), b) for a, b in run]] * 2
-    seen: dict[tuple[int, int], list[int]] = {}
-    for k, (x, p) in enumerate(envs):
-        for d, window in windows(x, p, length):
-            seen.setdefault((d, window), []).append(k)
-    hits: list[list[int]] = [[] for _ in envs]
-    for (d, _), owners in seen.items():
-        if len(owners) > 1:
-            for k in owners:
-                hits[k].append(d)
-    for ds in hits:
-        out.append(runs(sorted(ds)))
-    return out
+    found = [list(windows(x, p, length)) for x, p in envs]
+    owner = np.repeat(np.arange(len(envs)), [len(f) for f in found])
+    d, hashes = (np.array(x, np.int64) for x in zip(*(w for f in found for w in f), strict=True))
+    _, same, count = np.unique(hashes, return_inverse=True, return_counts=True)
+    hit = count[same] > 1
+    order = np.lexsort((d[hit], owner[hit]))
+    at = np.searchsorted(owner[hit][order], np.arange(len(envs) + 1))
+    ds = d[hit][order].tolist()
+    return [runs(ds[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
 
 
 def windows(env: bytes, at: int, length: int = LENGTH) -> Iterator[tuple[int, int]]:
@@ -292,8 +290,7 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         repeated = found if repeated is None else repeated.unionByName(found)
     for _, level in family.levels:
         drop(level)
-    repeated = stage(repeated.distinct(), "prefixes")
-    matched = stage(suffixes.drop("batch").join(small(repeated, most=2 * BROADCAST_ROWS), "prefix", "left_semi"), "matched")
+    matched = stage(suffixes.drop("batch").join(repeated, "prefix", "left_semi"), "matched")
     drop(suffixes)
 
     one = F.min(F.struct("key", "at", "back", "span")).alias("one")
@@ -305,22 +302,20 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     mixed = by_env.groupBy("prefix").agg(F.count(F.lit(1)).alias("envs")).filter("envs > 1")
     wanted = by_env.join(mixed, "prefix").select(F.col("one.key").alias("key"), F.struct("one.at", "one.back", "one.span", "prefix", "env", (F.col("envs") > GROUP).alias("many")).alias("x"))
     wanted = stage(wanted.groupBy("key").agg(F.collect_list("x").alias("wanted")), "wanted")
-    size = wanted.agg(F.coalesce(F.sum(F.size("wanted")), F.lit(0))).first()[0]
-    envs = texts.join(small(wanted, size), "key").select("text", "wanted")
+    envs = texts.join(wanted, "key").select("text", "wanted")
     envs = stage(envs.mapInArrow(_environments, "prefix long, env long, p long, bytes binary, many boolean"), "bytes")
     some = envs.filter("not many").groupBy("prefix").agg(F.collect_list(F.struct("env", "p", "bytes")).alias("members"))
     partial = some.mapInArrow(_compare, "prefix long, env long, near long, far long")
     each = envs.filter("many").mapInArrow(_windows, "prefix long, env long, d int, window long")
     twice = stage(each.groupBy("prefix", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "windows")
     d = F.col("d").cast("long")
-    partial = partial.unionByName(each.join(small(twice), ["prefix", "window"], "left_semi").select("prefix", "env", d.alias("near"), d.alias("far")))
+    partial = partial.unionByName(each.join(twice, ["prefix", "window"], "left_semi").select("prefix", "env", d.alias("near"), d.alias("far")))
     partial = partial.join(by_env.filter("n = 1"), ["prefix", "env"])
     at = F.col("one.at").cast("long")
     partial = partial.select(F.col("one.key").alias("key"), (at - F.col("far")).alias("a"), (at - F.col("near") + LENGTH).alias("b"))
 
     spans = stage(whole.unionByName(partial).groupBy("key").agg(F.collect_set(F.struct("a", "b")).alias("spans")), "spans")
-    size = spans.agg(F.coalesce(F.sum(F.size("spans")), F.lit(0))).first()[0]
-    cut = texts.join(small(spans, size), "key").select("key", "text", "spans")
+    cut = texts.join(spans, "key").select("key", "text", "spans")
     cut = stage(cut.mapInArrow(_cut, "key long, n_removed long, spans array<struct<a:long,b:long>>, kept_sha256 string"), "cut")
 
     placed = about.join(groups, "sha").join(cut.withColumnRenamed("key", "rep"), "rep", "left")
