@@ -49,6 +49,10 @@ class Pairs:
     blanked: DataFrame
     errors: DataFrame
     dropped: DataFrame
+    renamed: DataFrame  # what they are all made of, cached
+
+    def unpersist(self) -> None:
+        self.renamed.unpersist()
 
 
 def checked(rows: DataFrame, stage: str) -> tuple[DataFrame, DataFrame]:
@@ -60,7 +64,7 @@ def checked(rows: DataFrame, stage: str) -> tuple[DataFrame, DataFrame]:
 
 
 def build_pairs(sources: DataFrame, blanked: bool = True) -> Pairs:
-    """pairs of (source_file, src). Renaming runs once; its rows are cached until the caller unpersists them."""
+    """pairs of (source_file, src). Renaming runs once; its rows are cached until unpersist()."""
     repaired = sources.select("source_file", repair.repair(F.col("src")).alias("response"))
     done = obfuscate(repaired, "response").persist()
     clean, e1 = checked(done.filter("not needed_fallback").select("source_file", F.col("obfuscated").alias("prompt"), "response"), "generate_jsonl")
@@ -70,7 +74,7 @@ def build_pairs(sources: DataFrame, blanked: bool = True) -> Pairs:
     if not blanked:
         masked, e2 = masked.filter(F.lit(False)), e2.filter(F.lit(False))
     dropped = fallback.filter(F.lit(not blanked)).select("source_file")
-    return Pairs(clean, masked, e1.unionByName(e2), dropped)
+    return Pairs(clean, masked, e1.unionByName(e2), dropped, done)
 
 
 def run(spark: SparkSession, source_dir: str, output: str, jsonl_output: str | None = None, blanked: bool = False) -> dict[str, int]:
@@ -100,4 +104,5 @@ def append(spark: SparkSession, found: DataFrame, target: str, blanked: bool) ->
         if out[name]:
             write(rows, path)
         rows.unpersist()
+    pairs.unpersist()
     return out
