@@ -65,9 +65,15 @@ class Model:
         return ()
 
     def predict(self, text: str | None) -> tuple[str, float]:
+        """The language and its score."""
+        return self.judge(text)[:2]
+
+    def judge(self, text: str | None) -> tuple[str, float, bool]:
+        """The language, its score, and whether the text tells it: by more than an even share or, if one language is all
+        that was learned, by a known word or n-gram other than the bare marks, which every word has."""
         counts = Counter(_WORD.findall((text or "").lower()))
         if not self.langs or not any(map(str.isalpha, "".join(counts))):
-            return UNKNOWN, 0.0
+            return UNKNOWN, 0.0, False
         at: list[int] = []
         weight: list[float] = []
         seen = 0
@@ -82,11 +88,13 @@ class Model:
                 weight += [n / len(rows)] * len(rows)
                 seen += n
         if not seen:
-            return self.langs[self.default], 1 / len(self.langs)
+            return self.langs[self.default], 1 / len(self.langs), False
         total = np.array(weight) @ self.scores[at] / seen
         share = np.exp(total - total.max())
         best = int(share.argmax())
-        return self.langs[best], float(share[best] / share.sum())
+        score = float(share[best] / share.sum())
+        told = score > 1 / len(self.langs) if len(self.langs) > 1 else not {self.grams.get("^"), self.grams.get("$")}.issuperset(at)
+        return self.langs[best], score, told
 
 
 def fit(
@@ -152,12 +160,14 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def keep_known(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of docs, with their own columns, whose language is told: not `und`, and likelier than by chance."""
+    """The rows of docs, with their own columns, whose language is told: not `und`, and likelier than by chance.
+
+    With one learned language no score is likelier than chance: rows stay that hold a word or n-gram the model knows.
+    """
     sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sent.value.predict(t) for t in batch.column(at).to_pylist()]
-            yield batch.filter(pa.array([x != UNKNOWN and y > 1 / len(sent.value.langs) for x, y in found], pa.bool_()))
+            yield batch.filter(pa.array([sent.value.judge(t)[2] for t in batch.column(at).to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

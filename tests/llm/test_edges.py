@@ -254,6 +254,15 @@ def test_language(spark, edges, none):
     assert language_id.identify(none, model).count() == 0
 
 
+def test_one_language_keeps_what_it_knows(spark):
+    train = spark.createDataFrame([(k, f"the house and the dog {k}", "en") for k in range(40)], "doc_id long, text string, lang string")
+    model = language_id.fit(train)
+    assert model.langs == ["en"] and model.predict("The dog") == ("en", 1.0) and model.predict("漢字") == ("en", 1.0)
+    docs = spark.createDataFrame([(1, "The dog"), (2, "dogs"), (3, "漢字"), (4, "12 !"), (5, ""), (6, None)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in language_id.keep_known(docs, model).collect()) == [1, 2]
+    assert language_id.keep_known(train, model).count() == 40
+
+
 def test_held_out_rows_are_the_contract_s(spark):
     ids = spark.range(300).select("id", language_id.held_out(F.col("id")).alias("h"))
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in ids.collect())
