@@ -5,10 +5,17 @@ statements are accepted) and lists, in source order, what renaming has to know:
 are and which names may be variables. No tree is built. Where the grammar needs unbounded look-ahead (casts, lambdas,
 declarations) a guess is tried and its facts are taken back if it fails. An error skips to the end of the statement or
 member, so that the facts around it survive.
+
+Chains (else-if, the last part of a ternary, operators, suffixes) are loops and may be of any length. What is truly
+nested is parsed by recursion, up to `_DEPTH` statements, expressions and operands within each other, some 5,000
+parentheses; a text nested deeper counts as broken there. Texts that need more than Python's usual stack are parsed
+again with a large one.
 """
 
 from __future__ import annotations
 
+import sys
+import threading
 from typing import NamedTuple
 
 from lexiquarry.operators.javalex import BAD, CHAR, END, MODIFIERS, NAME, NUMBER, OP, PRIMITIVES, STRING, WORD, tokens
@@ -24,7 +31,9 @@ REFERENCED_METHODS_ARE_USES = True
 
 _ASSIGN = frozenset("= += -= *= /= %= &= |= ^= <<=".split())
 _BINARY = frozenset("+ - * / % & | ^ && || == != < <= <<".split())
-_DEPTH = 200
+_DEPTH = 10_000
+#: Stack of a deep parse, in Python frames and bytes; a level of depth takes some 12 frames at most.
+_FRAMES, _STACK = 20 * _DEPTH, 512 << 20
 
 
 class Fact(NamedTuple):
@@ -45,9 +54,21 @@ class Parser:
         self.inside_field = 0
         self.depth = 0
         self.body = "class"  # what kind of type the members belong to
+        self.closing = self._closing("(", ")") | self._closing("{", "}")
 
     # --- tokens
 
+    def _closing(self, opens: str, closes: str) -> dict[int, int]:
+        """The place of each opening token with that of its closing one."""
+        found, open_ = {}, []
+        for k, x in enumerate(self.t):
+            if x.kind == OP:
+                if x.text == opens:
+                    open_.append(k)
+                elif x.text == closes and open_:
+                    found[open_.pop()] = k
+        return found
+
     def text(self, ahead: int = 0) -> str:
         t = self.t[min(self.at + ahead, len(self.t) - 1)]
         return t.text if t.kind in (OP, WORD, NAME) else ""
@@ -93,17 +114,16 @@ class Parser:
         self.errors += 1
         del self.facts[facts:]
         self.at = start
-        depth = 0
         while self.kind() != END:
             x = self.text()
-            if x == "}" and depth == 0:
-                if self.at == start:
-                    return
-                break
+            if x == "}":
+                return
+            if x == "{":  # with all that is in it, or else to the end
+                self.at = self.closing.get(self.at, len(self.t) - 2) + 1
+                return
             self.at += 1
-            depth += (x == "{") - (x == "}")
-            if depth == 0 and x in (";", "}"):
-                break
+            if x == ";":
+                return
 
     def many(self, parse, until: str) -> None:
         """Statements or members up to `until` or the end, each with its own recovery."""
@@ -476,7 +496,11 @@ class Parser:
     def _if(self) -> None:
         self.parens()
         self.statement()
-        if self.take("else"):
+        while self.take("else"):
+            if not self.take("if"):
+                self.statement()
+                break
+            self.parens()
             self.statement()
 
     def _while(self) -> None:
@@ -651,7 +675,7 @@ class Parser:
             if self.take("?"):
                 self.expression()
                 self.need(":")
-                self.expression()
+                self.operand()
             elif not self.operator():
                 break
         self.depth -= 1
@@ -706,16 +730,8 @@ class Parser:
             return self.text(1) == "->"
         if self.text() != "(":
             return False
-        k, depth = self.at, 0
-        while True:
-            x = self.t[k]
-            if x.kind == END:
-                return False
-            if x.kind == OP:
-                depth += (x.text == "(") - (x.text == ")")
-                if depth == 0:
-                    return self.t[k + 1].text == "->"
-            k += 1
+        k = self.closing.get(self.at)
+        return k is not None and self.t[k + 1].text == "->"
 
     def lambda_(self) -> None:
         self.say(PUSH)
@@ -876,5 +892,32 @@ def parse(source: str) -> tuple[Parser, bool]:
     try:
         p.program()
     except RecursionError:
-        p.errors += 1
+        p = _parse_deep(source)
     return p, p.errors > 0
+
+
+def _parse_deep(source: str) -> Parser:
+    """The same with a stack of _FRAMES."""
+    p = Parser(source)
+    failed: list[BaseException] = []
+
+    def run() -> None:
+        try:
+            p.program()
+        except RecursionError:
+            p.errors += 1
+        except BaseException as e:
+            failed.append(e)
+
+    frames, size = sys.getrecursionlimit(), threading.stack_size(_STACK)
+    try:
+        sys.setrecursionlimit(max(frames, _FRAMES))
+        thread = threading.Thread(target=run)
+        thread.start()
+        thread.join()
+    finally:
+        threading.stack_size(size)
+        sys.setrecursionlimit(frames)
+    if failed:
+        raise failed[0]
+    return p

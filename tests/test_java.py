@@ -108,3 +108,33 @@ def test_broken_text_is_renamed_as_far_as_it_goes():
 
 def test_deep_nesting_is_an_error_not_a_crash():
     assert R.has_errors("void f() { x = " + "(" * 5000 + "1" + ")" * 5000 + "; }")
+
+
+N = 2_000
+DEEP = [
+    ("void f(int a) { " + " else ".join(f"if (a == {k}) b();" for k in range(20_000)) + " else { int q = a; } }", "{ int var_2 = var_1; } }"),
+    ("void f(int a) { int q = " + " ".join(f"a == {k} ? {k} :" for k in range(20_000)) + " a; }", ": var_1; }"),
+    ("void f(int a) { int q = " + "(" * N + "a" + ")" * N + "; }", "(var_1" + ")" * N + "; }"),
+    ("void f(int a) { int q = " + "g(" * N + "a" + ")" * N + "; }", "(var_1" + ")" * N + "; }"),
+    ("void f(int a) { " + "{ " * N + "int q = a; " + "}" * N + " }", "{ int var_2 = var_1; " + "}" * N + " }"),
+    ("void f(int a) { " + "if (a) " * N + "a++; }", "if (var_1) var_1++; }"),
+    ("void f(int a) { X q = " + "y -> " * N + "a; }", "y -> var_1; }"),
+    ("void f(int a) { int[] q = " + "{" * N + "a" + "}" * N + "; }", "{var_1" + "}" * N + "; }"),
+    ("class A { " * N + "int x;" + " }" * N, "class A { int var_1;" + " }" * N),
+]
+
+
+@pytest.mark.parametrize(("source", "end"), DEEP)
+def test_long_chains_and_deep_nesting_are_sound(source, end):
+    broken, out = R.rename(source)
+    assert not broken and out.endswith(end)
+
+
+def test_broken_deep_text_is_renamed_as_far_as_it_goes():
+    broken, out = R.rename("void f(int a) { " + "{" * N + " x y z; int q = a; " + "}" * (N - 1) + " } } void g() { int r; }")
+    assert broken and out.endswith("void func_2() { int var_3; }")
+
+
+def test_a_dangling_else_belongs_to_the_inner_if():
+    assert not R.has_errors("void f() { if (a) if (b) c(); else if (d) e(); else g(); else h(); }")
+    assert R.has_errors("void f() { if (a) b(); else c(); else if (d) e(); }")
