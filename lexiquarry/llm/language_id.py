@@ -7,8 +7,9 @@ back to shorter ones; a word without a known n-gram says nothing. The language w
 score is that language's share when the mean scores per word are taken as log probabilities.
 
 The classifier is fitted on a bounded sample: about `sample_docs` documents of each language, chosen by a hash of the
-id, and keeps at most `most_words` words and `most_grams` n-grams, which bounds what is collected and sent to workers.
-Prediction reads every whole text.
+id, and keeps at most `most_words` words and `most_grams` n-grams, with 8 bytes for each label, which bounds what is
+collected and sent to workers. Every label is learned, however rare and however many there are. Prediction reads every
+whole text.
 
 Nulls and empties: a null text, or one without any letter, gets the language `und` and score 0. A text with letters of
 which the model knows nothing gets the most frequent learned language, with an even share as score. Without labelled
@@ -31,7 +32,7 @@ from lexiquarry.llm.common import stage
 
 UNKNOWN = "und"
 ORDER = 4
-SAMPLE_DOCS, MOST_WORDS, MOST_GRAMS, MOST_LANGS = 3_000, 120_000, 60_000, 256
+SAMPLE_DOCS, MOST_WORDS, MOST_GRAMS = 3_000, 120_000, 60_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -103,13 +104,14 @@ def fit(
 ) -> Model:
     """A model of the rows of labelled whose text and language are known."""
     rows = labelled.filter(F.col(text_col).isNotNull() & F.col(lang_col).isNotNull())
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGS).collect()}
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
         return Model([], 0, {}, {}, np.zeros((0, 0)))
     langs = sorted(sizes)
-    share = F.element_at(F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, min(1.0, sample_docs / n)))), F.col("lang"))
+    kind = rows.select(F.col(lang_col).alias("lang")).schema["lang"].dataType.simpleString()
+    shares = rows.sparkSession.createDataFrame([(k, min(1.0, sample_docs / sizes[k])) for k in langs], f"lang {kind}, share double")
     sample = rows.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.pmod(F.xxhash64(F.col(id_col)), F.lit(1_000_000)).alias("h"))
-    sample = sample.filter(F.col("h") < share * 1_000_000)
+    sample = sample.join(F.broadcast(shares), "lang").filter(F.col("h") < F.col("share") * 1_000_000)
     words = F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0)))
     counted = stage(sample.select("lang", words.alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")), "words")
     padded = F.concat(F.lit("^"), "word", F.lit("$"))

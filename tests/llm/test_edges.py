@@ -263,6 +263,14 @@ def test_one_language_keeps_what_it_knows(spark):
     assert language_id.keep_known(train, model).count() == 40
 
 
+def test_every_label_is_learned(spark):
+    name = lambda k: "".join(chr(97 + int(c)) for c in f"{k:03}")
+    rows = [(2 * k + i, f"{name(k)}q {name(k)}q", f"l{k:03}") for k in range(300) for i in range(2)] + [(9_000, "zzz zzz", "rare")]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model.langs) == 301
+    assert model.predict("zzz")[0] == "rare" and model.predict(f"{name(299)}q")[0] == "l299"
+
+
 def test_held_out_rows_are_the_contract_s(spark):
     ids = spark.range(300).select("id", language_id.held_out(F.col("id")).alias("h"))
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in ids.collect())
