@@ -233,8 +233,8 @@ def _scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @add("s3_file_pairs", "SELECT n_name || '.java' AS source_file, 'int a' || n_nationkey || ';' AS original, 'int var_1;' AS renamed FROM nation")
 def _file_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    left = _nation_dir(spark, sf_dir, "'int a' || n_nationkey || ';'")
-    right = _nation_dir(spark, sf_dir, "'int var_1;'")
+    left = _nation_dir(spark, sf_dir, f"'in' || {corpus.BS} || 'u0074 a' || chr(0) || n_nationkey || ';'")
+    right = _nation_dir(spark, sf_dir, f"'int ' || {corpus.BS} || 'U0076ar_1;' || chr(0)")
     return files.pairs_of_files(spark, left, right)
 
 

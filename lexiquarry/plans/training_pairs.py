@@ -77,6 +77,15 @@ def build_pairs(sources: DataFrame, blanked: bool = True) -> Pairs:
     return Pairs(clean, masked, e1.unionByName(e2), dropped, done)
 
 
+def pairs_of_files(spark: SparkSession, originals: str, renamed: str) -> tuple[DataFrame, DataFrame]:
+    """S3 with T12, F6 and F8: blanked pairs of the files with the same name in two directories, and error rows."""
+    both = files.pairs_of_files(spark, originals, renamed)
+    blanked = both.select("source_file", blank_source(F.col("renamed")).alias("prompt"), blank_source(F.col("original")).alias("response"))
+    good, bad = checked(blanked, "generate_jsonl")
+    unread = [files.texts(files.java_files(spark, path))[1] for path in (originals, renamed)]
+    return good, bad.unionByName(unread[0].unionByName(unread[1]).distinct())
+
+
 def run(spark: SparkSession, source_dir: str, output: str, jsonl_output: str | None = None, blanked: bool = False) -> dict[str, int]:
     """Pairs of a directory of .java files as JSON datasets; files already in the output are not read again.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiquarry.functions.repair import strip
+from lexiquarry.functions.repair import repair, strip
 
 #: Shares of a corpus by size letter.
 SIZES = {"s": 0.1, "m": 0.5, "l": 1.0}
@@ -32,10 +32,11 @@ def texts(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def pairs_of_files(spark: SparkSession, originals: str, renamed: str) -> DataFrame:
-    """S3: (source_file, original, renamed) of files with the same name in two directories."""
+    """S3: (source_file, original, renamed) of files with the same name in two directories, both repaired."""
     left, _ = texts(java_files(spark, originals))
     right, _ = texts(java_files(spark, renamed))
-    return left.withColumnRenamed("src", "original").join(right.withColumnRenamed("src", "renamed"), "source_file")
+    side = lambda df, name: df.select("source_file", repair(F.col("src")).alias(name))
+    return side(left, "original").join(side(right, "renamed"), "source_file")
 
 
 def lines(spark: SparkSession, path: str) -> DataFrame:

@@ -54,6 +54,32 @@ def test_without_blanked_sources_are_dropped_and_tried_again(spark, sources, tmp
     assert training_pairs.run(spark, sources, str(tmp_path / "x"), out, blanked=True)["blanked"] == 1
 
 
+def test_file_pairs_are_repaired_blanked_and_checked(spark, tmp_path):
+    texts = {
+        "A.java": ('class A {\r\nint a = f("x",\0 \\\'c\\\');\r\n}', "class A {\nint \\u0076ar_1 = f(\"x\", 'c');\n}"),
+        "B.java": ("int a;", "int var_1; ;"),
+        "C.java": ("int a;", " \n"),
+        "E.java": ('class E { String s = "a \\\\" b"; }', 'class E { String var_1 = "a \\\\" b"; }'),
+        "F.java": ("int a;", None),
+    }
+    for side in (0, 1):
+        (tmp_path / str(side)).mkdir()
+        for name, both in texts.items():
+            if both[side] is not None:
+                (tmp_path / str(side) / name).write_text(both[side], newline="")
+        (tmp_path / str(side) / "Bad.java").write_bytes(b"int a; \xff" if side else b"int a;")
+    left, right = str(tmp_path / "0"), str(tmp_path / "1")
+    joined = {r.source_file: (r.original, r.renamed) for r in files.pairs_of_files(spark, left, right).collect()}
+    assert sorted(joined) == ["A.java", "B.java", "C.java", "E.java"]
+    assert joined["A.java"] == ("class A {\nint a = f(\"x\", 'c');\n}", "class A {\nint var_1 = f(\"x\", 'c');\n}")
+    good, bad = training_pairs.pairs_of_files(spark, left, right)
+    assert {r.source_file: (r.prompt, r.response) for r in good.collect()} == {
+        "A.java": ("class A {\nint var_1 = f(\"_\", 'X');\n}", "class A {\nint a = f(\"_\", 'X');\n}"),
+        "E.java": ('class E { String var_1 = "_"; }', 'class E { String s = "_"; }'),
+    }
+    assert sorted((r.source_file, r.stage) for r in bad.collect()) == [("B.java", "generate_jsonl"), ("Bad.java", "read"), ("C.java", "generate_jsonl")]
+
+
 def test_stream_takes_new_files_once(spark, sources, tmp_path):
     out, mark = str(tmp_path / "pairs"), str(tmp_path / "mark")
     incremental.start(spark, sources, out, mark, True).awaitTermination(120)
