@@ -58,3 +58,11 @@ def export_files(rows: DataFrame, path: str, suffix: str = "") -> None:
         out = system.create(hadoop, True)
         out.write(bytearray(r["text"].encode()))
         out.close()
+
+
+def export_pairs(pairs: DataFrame, path: str, suffix: str = ".jsonl") -> None:
+    """Each pair as one JSON line in a file of its own, source_file and suffix; the suffix is looked at first."""
+    if not suffix.endswith(".jsonl"):
+        raise ValueError("Output file must have a .jsonl extension")
+    line = F.concat(json_line(F.col("prompt"), F.col("response")), F.lit("\n"))
+    export_files(pairs.select("source_file", line.alias("text")), path, suffix)

@@ -113,6 +113,15 @@ def test_token_guard(spark):
     assert {r.source_file: r.error for r in bad.collect()} == {"b": "Token count mismatch: prompt 1, response 2", "c": training_pairs.EMPTY}
 
 
+def test_pairs_are_exported_as_jsonl_only(spark, tmp_path):
+    rows = spark.createDataFrame([("A.java", "x", 'é "y"')], "source_file string, prompt string, response string")
+    with pytest.raises(ValueError, match="Output file must have a .jsonl extension"):
+        sinks.export_pairs(rows, str(tmp_path / "no"), ".json")
+    assert not (tmp_path / "no").exists()
+    sinks.export_pairs(rows, str(tmp_path / "yes"))
+    assert (tmp_path / "yes" / "A.java.jsonl").read_text() == '{"prompt":"x","response":"é \\"y\\""}\n'
+
+
 def test_command_line(spark, sources, tmp_path, capsys):
     assert cli.parser().parse_args(["classes", "-f", "a", "-d", "b"]).size == "s"
     assert cli.main(["pairs", "-i", str(tmp_path / "none"), "-o", "x"]) == 1
