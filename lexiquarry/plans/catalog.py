@@ -259,3 +259,10 @@ def _ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _nation_dir(spark, sf_dir, "n_name") + "-lines"
     table(spark, sf_dir, "nation").coalesce(1).sortWithinPartitions("n_nationkey").select("n_name").write.mode("overwrite").text(path)
     return files.lines(spark, path)
+
+
+@add("w2_part_lines", "SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS ordinal, p_partkey || ' ' || p_name AS line FROM part")
+def _part_ordinals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_root(spark)}/part-lines-{uuid.uuid4().hex}"
+    table(spark, sf_dir, "part").coalesce(1).sortWithinPartitions("p_partkey").select(F.concat_ws(" ", "p_partkey", "p_name")).write.text(path)
+    return files.lines(spark, path)

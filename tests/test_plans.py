@@ -101,6 +101,21 @@ def test_lines_and_prefixes(spark, tmp_path):
     assert made["TestClass3.java"] == "public class TestClass3 {\n\n}"
 
 
+def test_lines_of_many_splits(spark, tmp_path):
+    path = tmp_path / "lines.txt"
+    path.write_text("".join(f"line {k} {'x' * (k % 50)}\n" for k in range(5_000)))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        assert spark.read.text(str(path)).rdd.getNumPartitions() > 10
+        got = sorted((r.ordinal, r.line) for r in files.lines(spark, str(path)).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == [(k, f"line {k} {'x' * (k % 50)}") for k in range(5_000)]
+
+
 @pytest.mark.parametrize(("path", "want"), [("a/b/jsonl", "a/b/jsonl_blanked"), ("jsonl", "./jsonl_blanked"), ("/x/y/", "/x/y_blanked"), ("/x", "/x_blanked"), ("", "./jsonl_blanked")])
 def test_blanked_sibling(path, want):
     assert sinks.blanked_sibling(path) == want
