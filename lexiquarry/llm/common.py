@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexiquarry.session import shared_root, ship, table
 
-__all__ = ["drop", "prepare", "shared_path", "small", "stage", "table"]
+__all__ = ["drop", "fresh", "keyed", "prepare", "shared_path", "small", "stage", "table"]
 
 
 def prepare(spark: SparkSession) -> None:
@@ -45,3 +45,22 @@ def drop(*frames: DataFrame) -> None:
         for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             hadoop = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
             hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def keyed(docs: DataFrame, id_col: str) -> tuple[DataFrame, str]:
+    """docs and a column that tells its rows apart and sorts as the id does, nulls last: the id itself where it does, else
+    one of a written copy."""
+    ids = docs.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(id_col).alias("ids")).first()
+    if ids["rows"] == ids["ids"]:
+        return docs, id_col
+    key = fresh(docs, "row_key")
+    parts = [F.col(id_col).isNull().alias("no_id"), F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("row")]
+    return stage(docs.withColumn(key, F.struct(*parts)), "keyed"), key

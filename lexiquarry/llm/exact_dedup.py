@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiquarry.llm.common import small, stage
+from lexiquarry.llm.common import fresh, keyed, small, stage
 
 #: Frequent digests kept in a summary, and the most that are ever broadcast.
 COUNTERS = 1024
@@ -91,12 +91,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", counters: int = COUNTERS) -> DataFrame:
     """The rows of docs that stay, with docs' own columns."""
-    found = stage(exact_dedup(docs, id_col, text_col, counters), "exact")
-    keys = found.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("copies"))
-    keys = stage(keys, "keys")
-    gone = keys.filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), F.col("text_sha256").alias("gone_sha"))
-    digest = F.sha2(normalised(F.col(text_col)), 256)
-    kept = docs.join(small(gone), F.col(id_col).eqNullSafe(F.col("gone_id")) & (digest == F.col("gone_sha")), "left_anti")
-    if keys.filter("kept and copies > 1").isEmpty():
-        return kept
-    return kept.withColumn("_sha", digest).dropDuplicates([id_col, "_sha"]).drop("_sha")
+    docs, key = keyed(docs, id_col)
+    found = stage(exact_dedup(docs, key, text_col, counters), "exact")
+    gone = fresh(docs, "gone")
+    dropped = found.filter(~F.col("kept")).select(F.col("doc_id").alias(gone))
+    kept = docs.join(small(dropped), F.col(key) == F.col(gone), "left_anti")
+    return kept if key == id_col else kept.drop(key)

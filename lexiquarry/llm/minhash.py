@@ -9,13 +9,13 @@ empty bin borrows from the first filled bin of its own random probe sequence, th
 densification), so that sparse sets agree bin by bin as often as full ones. Bands of `ROWS` bins are bucket keys; at
 the threshold of 0.75 a pair shares no bucket of 32 with probability 5e-6.
 
-In each bucket a star of candidate edges leads from a hub to the other members. Edges are confirmed on full sets, the
-links become components, and members that the hub left apart go into further rounds. First those go that cannot be
-linked to any other: a shingle that no other member left has is in no intersection, and a link needs three quarters of
-a set to be shared. Then eight times as many members of each bucket, those of small components first, are hubs in each
-round, compared only with members of other components in all of their buckets whose shared shingles could be enough;
-then they leave. Rounds end when no bucket holds two components, so every pair in a bucket is either confirmed, refuted
-or known to be connected. No round caps a bucket.
+In each bucket a star of candidate edges leads from a hub to the other members. Edges are confirmed on full sets, and
+the links become components. Members of buckets that still hold more than one component are then compared by their
+rarest shingles: with all sets in one order, from the rarest shingle to the commonest among these members, two linked
+sets share a shingle within the first seventh of the smaller set and the first quarter of the larger, and what follows
+their first common shingle must suffice for a link. Members with a common core and private rests have only private
+shingles in front, so they are refuted without meeting, however many there are. A shingle's postings are compared only
+across components: those outside its most frequent component with all. No step caps a bucket or a shingle's postings.
 
 Nulls and empties: documents without words have an empty set, are their own component and linked with nothing. A null
 id takes part like any other; the component's id is its smallest id that is not null. Repeated rows and ids are
@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiquarry.llm.common import drop, small, stage
+from lexiquarry.llm.common import drop, fresh, keyed, small, stage
 from lexiquarry.llm.components import components, merge_components
 
 SHINGLE, BINS, ROWS = 5, 128, 4
@@ -145,29 +145,9 @@ def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(_verified, "a long, b long, linked boolean")
 
 
-def _hubs(members: DataFrame, slots: int) -> DataFrame:
-    """(seq) of up to `slots` members of each bucket with more than one component, those of small components first."""
-    slot = F.pmod(F.xxhash64("seq", F.lit(slots)), F.lit(slots)).alias("slot")
-    best = members.groupBy("bucket", slot).agg(F.min(F.struct("size", "seq")).alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    bucket = Window.partitionBy("bucket")  # over at most `slots` rows
-    mixed = best.withColumns({"lo": F.min("lo").over(bucket), "hi": F.max("hi").over(bucket)}).filter("lo != hi")
-    return mixed.select("hub.seq").distinct()
-
-
-def _star_pairs(members: DataFrame, hubs: DataFrame) -> DataFrame:
-    """(a, b): hubs with the members of all their buckets that are of other components and could be linked."""
-    centres = members.join(hubs, "seq", "left_semi").select("bucket", *(F.col(x).alias(f"h_{x}") for x in ("seq", "n", "m", "comp")))
-    # 100 i >= 75 (n + h_n - i), where the intersection i cannot exceed what either side may share with anyone.
-    near = (F.col("comp") != F.col("h_comp")) & (7 * F.least("m", "h_m") >= 3 * (F.col("n") + F.col("h_n")))
-    return members.join(centres, "bucket").filter(near).select(F.least("seq", "h_seq").alias("a"), F.greatest("seq", "h_seq").alias("b")).distinct()
-
-
 def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """members with comp, their component, and size, its number of vertices; labels: (u, v)."""
-    sizes = labels.groupBy("v").agg((F.count(F.lit(1)) + 1).alias("size"))
-    named = labels.join(sizes, "v").select(F.col("u").alias("seq"), F.col("v").alias("comp"), "size")
-    named = named.unionByName(sizes.select(F.col("v").alias("seq"), F.col("v").alias("comp"), "size"))
-    return members.join(named, "seq", "left").withColumns({"comp": F.coalesce("comp", "seq"), "size": F.coalesce("size", F.lit(1))})
+    """members with comp, their component; labels: (u, v)."""
+    return members.join(labels.select(F.col("u").alias("seq"), F.col("v").alias("comp")), "seq", "left").withColumn("comp", F.coalesce("comp", "seq"))
 
 
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,18 +157,38 @@ def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(np.full(len(s), seq))], ["shingle", "seq"])
 
 
-def _linkable(left: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """(bucket, seq, n, m) of the members of buckets with more than one component that could be linked to another.
+def _mixed(members: DataFrame, key: str) -> DataFrame:
+    """The keys whose members are of more than one component, and the component that most of them are of."""
+    by_comp = members.groupBy(key, "comp").agg(F.count(F.lit(1)).alias("n"))
+    return by_comp.groupBy(key).agg(F.count(F.lit(1)).alias("comps"), F.max_by("comp", F.struct("n", "comp")).alias("major")).filter("comps > 1").drop("comps")
+
+
+def _postings(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(shingle, seq, comp, n, rest) of the first quarter of each member's shingles, the rarest first.
 
-    m: shingles that some other such member has, too. A link needs three quarters of a set to be shared.
+    rest: shingles from this one on. Shingles that one member has come first and are left out, as nobody can meet there.
     """
-    members = stage(_with_components(left, labels).select("bucket", "seq", "n", "comp"), "members")
-    mixed = members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi").select("bucket")
-    members = stage(members.join(mixed, "bucket", "left_semi").select("bucket", "seq", "n"), "mixed")
-    shingles = sets.join(members.select("seq").distinct(), "seq", "left_semi").select("seq", "elements").mapInArrow(_shingles, "shingle long, seq long")
-    once = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("count"), F.min("seq").alias("seq")).filter("count = 1")
-    alone = once.groupBy("seq").agg(F.count(F.lit(1)).alias("alone"))
-    return members.join(alone, "seq", "left").select("bucket", "seq", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("m")).filter("100 * m >= 75 * n")
+    shingles = stage(sets.join(members.select("seq"), "seq").select("seq", "elements").mapInArrow(_shingles, "shingle long, seq long"), "shingles")
+    often = shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    ranked = shingles.join(often, "shingle").groupBy("seq").agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("ranked"))
+    ranked = members.join(ranked, "seq").withColumn("alone", F.col("n") - F.size("ranked"))
+    front = F.floor(F.col("n") / 4) + 1 - F.col("alone")  # a link needs three quarters of a set to be shared
+    ranked = ranked.filter(front > 0).select("seq", "comp", "n", "alone", F.posexplode(F.slice("ranked", 1, front.cast("int"))).alias("k", "x"))
+    return ranked.select(F.col("x.shingle").alias("shingle"), "seq", "comp", "n", (F.col("n") - F.col("alone") - F.col("k")).alias("rest"))
+
+
+def _rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): members (seq, n, comp) of different components that their rarest shingles do not refute."""
+    found = _postings(members, sets)
+    found = stage(found, "postings")
+    found = stage(found.join(_mixed(found, "shingle"), "shingle"), "met")
+    # 100 i >= 75 (n + m - i) is 7 i >= 3 (n + m), and from a common shingle on i cannot exceed what either side has left.
+    inner = found.filter("7 * rest >= 6 * n")  # the smaller of two sets
+    outer = found.select("shingle", "major", *(F.col(x).alias(f"o_{x}") for x in ("seq", "comp", "n", "rest")))
+    fits = (F.col("comp") != F.col("o_comp")) & (F.struct("n", "seq") < F.struct("o_n", "o_seq")) & (7 * F.least("rest", "o_rest") >= 3 * (F.col("n") + F.col("o_n")))
+    minor = inner.filter("comp != major").drop("major").join(outer.drop("major"), "shingle").filter(fits)
+    major = inner.filter("comp = major").drop("major").join(outer.filter("o_comp != major").drop("major"), "shingle").filter(fits)
+    return minor.unionByName(major).select(F.least("seq", "o_seq").alias("a"), F.greatest("seq", "o_seq").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,20 +211,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = shared.filter(near).select(F.col("h_seq").alias("a"), F.col("seq").alias("b")).distinct()
     links = stage(verify(pairs, sets).filter("linked").select("a", "b"), "links")
     labels = components(links)
+    # The hub of a bucket has met all its members.
     left = shared.filter(F.col("seq") != F.col("h_seq")).filter("size > 2").select("bucket", "seq", "n")
-    left = stage(_linkable(left, labels, sets), "linkable")
-    slots = 4
-    while True:
-        members = stage(_with_components(left, labels), "members")
-        hubs = stage(_hubs(members, slots), "hubs")
-        if hubs.isEmpty():
-            break
-        links = stage(verify(stage(_star_pairs(members, hubs), "pairs"), sets).filter("linked").select("a", "b"), "links")
-        if not links.isEmpty():
-            labels = merge_components(labels, links)
-        # A hub has met all members of its buckets and need not be looked at again.
-        left = members.join(hubs, "seq", "left_anti").select("bucket", "seq", "n", "m")
-        slots *= 8
+    left = stage(_with_components(left, labels), "left")
+    members = stage(left.join(_mixed(left, "bucket"), "bucket", "left_semi").select("seq", "n", "comp").distinct(), "members")
+    links = stage(verify(stage(_rare_pairs(members, sets), "pairs"), sets).filter("linked").select("a", "b"), "links")
+    labels = merge_components(labels, links)
     drop(sets)
 
     of_rep = groups.join(labels.withColumnRenamed("u", "rep"), "rep", "left").select("lo", "hi", F.coalesce("v", "rep").alias("comp"))
@@ -244,12 +236,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs, with their own columns, that are the first of their component."""
-    ids = docs.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct(id_col).alias("ids")).first()
-    key = id_col
-    if ids["rows"] != ids["ids"]:  # null or repeated ids: rows need keys that stay the same
-        key = "_row"
-        docs = stage(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    docs, key = keyed(docs, id_col)
     found = stage(near_duplicates(docs, key, text_col), "near")
-    gone = found.filter(~F.col("first")).select(F.col("doc_id").alias("_gone"))
-    kept = docs.join(small(gone), F.col(key) == F.col("_gone"), "left_anti")
+    gone = fresh(docs, "gone")
+    dropped = found.filter(~F.col("first")).select(F.col("doc_id").alias(gone))
+    kept = docs.join(small(dropped), F.col(key) == F.col(gone), "left_anti")
     return kept if key == id_col else kept.drop(key)
