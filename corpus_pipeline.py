@@ -16,6 +16,8 @@ from lexiquarry.llm import bpe, decontaminate, exact_dedup, language_id, minhash
 from lexiquarry.llm.common import prepare, stage, table
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Of the encoder's memos: workers and executors keep memory that earlier stages have taken.
+MEMO = (300_000, 50_000)
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +43,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    return bpe.encoded(docs, public_tokenizers.path(TOKENIZER), keep=("lang", "source"))
+    return bpe.encoded(docs, public_tokenizers.path(TOKENIZER), keep=("lang", "source"), memo=MEMO)
 
 
 STAGES = [

@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries kept in the memo of pieces, and in that of fragments; when full a memo starts anew.
-MEMO = (2_000_000, 300_000)
+#: Entries kept in the memo of pieces, and in that of fragments, of some 180 bytes each: 150 MB in a Python worker.
+MEMO = (800_000, 100_000)
 
 #: The byte-level pattern of this kind of vocabulary, in the library's order.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -103,17 +103,22 @@ class ForcedBoundaryBPE:
         self.inside = inside
         self._inside = inside.tobytes()
         self._pairs = set(map(tuple, np.argwhere(inside).tolist()))
+        self._ascii_pairs = {(chr(a), chr(b)) for a, b in self._pairs if a < 128 and b < 128}
+        self._space = alphabet[32]
         self._shown = str.maketrans({chr(b): c for b, c in alphabet.items()})
         self._hidden = str.maketrans({c: chr(b) for b, c in alphabet.items()})
         self._special = re.compile("|".join(map(re.escape, sorted((t["content"] for t in added), key=len, reverse=True)))) if added else None
         self._special_id = {t["content"]: t["id"] for t in added}
         self._words = regex.compile(WORDS)
+        self._tokenize = self.library.model.tokenize
         self._fragments = _Memo(self._merge, memo[1])
         self._pieces = _Memo(self._piece, memo[0])
 
     def _merge(self, fragment: bytes) -> bytes:
-        shown = fragment.decode("latin-1").translate(self._shown)
-        return array("I", [t.id for t in self.library.model.tokenize(shown)]).tobytes()
+        return self._ids(fragment.decode("latin-1").translate(self._shown))
+
+    def _ids(self, shown: str) -> bytes:
+        return array("I", [t.id for t in self._tokenize(shown)]).tobytes()
 
     def fragments(self, word: bytes) -> list[bytes]:
         """word, cut at every byte pair that no vocabulary token holds."""
@@ -138,6 +143,9 @@ class ForcedBoundaryBPE:
             return None
         if last in ".,;:" and piece[-2:-1].isalpha():  # a word, then a mark of its own
             return self._pieces[piece[:-1]] + self._pieces[last]
+        if piece[1:].isalpha() and piece.isascii() and (piece[0] == " " or piece[0].isalpha()) and not (self._special and self._special.search(piece)):
+            if self._ascii_pairs.issuperset(zip(piece, piece[1:], strict=False)):  # one word, and one fragment
+                return self._ids(self._space + piece[1:] if piece[0] == " " else piece)
         return self._whole(piece)
 
     def _whole(self, piece: str) -> bytes:
@@ -180,9 +188,9 @@ def certain_pieces(text: str) -> list[str]:
 
 
 @cache
-def encoder(path: str) -> ForcedBoundaryBPE:
-    """One encoder per Python process and file."""
-    return ForcedBoundaryBPE(path)
+def encoder(path: str, memo: tuple[int, int] = MEMO) -> ForcedBoundaryBPE:
+    """One encoder per Python process, file and size of the memos."""
+    return ForcedBoundaryBPE(path, memo)
 
 
 def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -223,11 +231,16 @@ def bpe_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: st
     )
 
 
-def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, the columns `keep`, ids, n_tokens, and whether decoding the ids gives the text again."""
+def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), memo: tuple[int, int] = MEMO) -> DataFrame:
+    """doc_id, the columns `keep`, ids, n_tokens, and whether decoding the ids gives the text again.
+
+    A column of `keep` may not be called as one of these.
+    """
+    if taken := {"doc_id", "ids", "n_tokens", "round_trip"} & {k.lower() for k in keep}:
+        raise ValueError(f"columns that clash with the result's: {', '.join(sorted(taken))}")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = encoder(path)
+        bpe = encoder(path, memo)
         for batch in batches:
             texts = batch.column(0).to_pylist()
             ids = [bpe.encode(t) for t in texts]
