@@ -12,10 +12,16 @@ from lexiquarry.session import shared_root, ship, table
 __all__ = ["drop", "fresh", "keyed", "prepare", "shared_path", "small", "stage", "table"]
 
 
+#: Rows and bytes of an Arrow batch, where the session has Spark's own values: a worker holds a batch of texts at a time.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "500"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864", "2097152")}
+
+
 def prepare(spark: SparkSession) -> None:
-    """Small Arrow batches, so that a batch of long texts stays within a worker's memory."""
+    """Small Arrow batches, so that a batch of long texts stays within a worker's memory. What the session sets stays."""
     ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    for name, (default, value) in BATCH.items():
+        if spark.conf.get(name).removesuffix("b") == default:
+            spark.conf.set(name, value)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

@@ -34,6 +34,9 @@ UNKNOWN = "und"
 ORDER = 4
 SAMPLE_DOCS, MOST_WORDS, MOST_GRAMS = 3_000, 120_000, 60_000
 
+#: Words whose rows a worker remembers.
+MEMO = 100_000
+
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -81,7 +84,7 @@ class Model:
         for word, n in counts.items():
             rows = self.memo.get(word)
             if rows is None:
-                if len(self.memo) > 300_000:
+                if len(self.memo) >= MEMO:
                     self.memo.clear()
                 rows = self.memo[word] = self.rows(word)
             if rows:

@@ -179,15 +179,22 @@ def _postings(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 def _rare_pairs(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): members (seq, n, comp) of different components that their rarest shingles do not refute."""
-    found = _postings(members, sets)
-    found = stage(found, "postings")
-    found = stage(found.join(_mixed(found, "shingle"), "shingle"), "met")
-    # 100 i >= 75 (n + m - i) is 7 i >= 3 (n + m), and from a common shingle on i cannot exceed what either side has left.
-    inner = found.filter("7 * rest >= 6 * n")  # the smaller of two sets
-    outer = found.select("shingle", "major", *(F.col(x).alias(f"o_{x}") for x in ("seq", "comp", "n", "rest")))
-    fits = (F.col("comp") != F.col("o_comp")) & (F.struct("n", "seq") < F.struct("o_n", "o_seq")) & (7 * F.least("rest", "o_rest") >= 3 * (F.col("n") + F.col("o_n")))
-    minor = inner.filter("comp != major").drop("major").join(outer.drop("major"), "shingle").filter(fits)
-    major = inner.filter("comp = major").drop("major").join(outer.filter("o_comp != major").drop("major"), "shingle").filter(fits)
+    # 100 i >= 75 (n + m - i) is 7 i >= 3 (n + m), and from a common shingle on i cannot exceed what either side has left:
+    # each side's spare, 7 rest - 3 n, must reach 3 m.
+    found = stage(_postings(members, sets).withColumn("spare", 7 * F.col("rest") - 3 * F.col("n")), "postings")
+    found = found.join(small(stage(_mixed(found, "shingle"), "mixed")), "shingle").withColumn("minor", F.col("comp") != F.col("major")).drop("major")
+    found = stage(found, "met")
+    # What the partners of a posting offer at most: those of the most frequent component meet the others, these meet all.
+    of = lambda x: F.when(F.col("minor"), F.col(x))
+    offers = [F.max("spare").alias("spare_all"), F.min("n").alias("n_all"), F.max(of("spare")).alias("spare_minor"), F.min(of("n")).alias("n_minor")]
+    offers = small(stage(found.groupBy("shingle").agg(*offers), "offers"))
+    offer, least = (F.when(F.col("minor"), F.col(f"{x}_all")).otherwise(F.col(f"{x}_minor")) for x in ("spare", "n"))
+    found = found.join(offers, "shingle").filter((3 * F.col("n") <= offer) & (F.col("spare") >= 3 * least))
+    found = stage(found.select("shingle", "seq", "comp", "n", "spare", "minor"), "left-over")
+    outer = found.select("shingle", *(F.col(x).alias(f"o_{x}") for x in ("seq", "comp", "n", "spare", "minor")))
+    fits = (F.col("comp") != F.col("o_comp")) & (F.struct("n", "seq") < F.struct("o_n", "o_seq")) & (F.col("spare") >= 3 * F.col("o_n")) & (F.col("o_spare") >= 3 * F.col("n"))
+    minor = found.filter("minor").join(outer, "shingle").filter(fits)
+    major = found.filter("not minor").join(outer.filter("o_minor"), "shingle").filter(fits)
     return minor.unionByName(major).select(F.least("seq", "o_seq").alias("a"), F.greatest("seq", "o_seq").alias("b")).distinct()
 
 

@@ -1,7 +1,9 @@
 """Queries without SQL against brute force, on small tables."""
 
 import collections
+import functools
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -159,43 +161,76 @@ def cheapest(roles):
     return best
 
 
+def cut_in(roles, cuts):
+    """The rendered turns of roles, repaired in runs that end at the cuts."""
+    runs = [roles[a:b] for a, b in zip([0, *cuts], [*cuts, len(roles)], strict=True)]
+    found = chat.borders([functools.reduce(chat.joined, (chat.SINGLE[r] for r in run)) for run in runs])
+    return [x for run, border in zip(runs, found, strict=True) for x in chat.render(run, ["t"] * len(run), chat.Border.of(border.packed()))]
+
+
 def test_chat_repairs_are_legal_and_cheapest_however_they_are_cut():
     rng = random.Random(2)
-    for _ in range(200):
-        roles = [rng.choice([None, 1, 2, 3]) for _ in range(rng.randint(1, 6))]
-        cuts = sorted(rng.sample(range(1, len(roles)), rng.randint(0, min(2, len(roles) - 1))))
-        runs = [roles[a:b] for a, b in zip([0, *cuts], [*cuts, len(roles)], strict=True)]
-        products = []
-        for run in runs:
-            m = chat.ONE
-            for r in run:
-                m = chat.times(m, chat.STEP[r])
-            products.append(m)
-        turns = [x for run, border in zip(runs, chat.borders(products), strict=True) for x in chat.render(run, ["t"] * len(run), border)]
+    for _ in range(600):
+        roles = [rng.choice([None, 1, 2, 3]) for _ in range(rng.randint(1, 7))]
+        turns = list(chat.render(roles, ["t"] * len(roles), chat.whole(roles)))
         said = re.findall(r"<\|im_start\|>(\w)\w*\n", "".join(x[-1] for x in turns))
         assert re.fullmatch("s?(ua)+", "".join(said))
-        assert sum(x[3] for x in turns) == cheapest(roles)
+        assert len(roles) > 5 or sum(x[3] for x in turns) == cheapest(roles)
+        for n in range(len(roles)):
+            for cuts in itertools.combinations(range(1, len(roles)), n):
+                assert cut_in(roles, cuts) == turns
+        whole = functools.reduce(chat.joined, (chat.SINGLE[r] for r in roles))
+        for k in range(1, len(roles)):
+            halves = (functools.reduce(chat.joined, (chat.SINGLE[r] for r in part)) for part in (roles[:k], roles[k:]))
+            both = chat.joined(*halves)
+            assert both[0] == whole[0] and all(x == y for s, row in enumerate(whole[1]) for t, (x, y) in enumerate(zip(row, both[1][s], strict=True)) if whole[0][s][t] < chat.FAR and all(whole[0][q][t] < chat.FAR for q in range(4)))
+
+
+def chats(turns):
+    """Rows of format_chats by brute force: (conv_id, turn, role, action, inserted, cost, segment), in any order."""
+    by = collections.defaultdict(list)
+    for conv, turn, role, text in turns:
+        by[conv].append((turn, role, text))
+    for conv, rows in by.items():
+        rows.sort(key=lambda r: (r[0], r[1] is not None, r[1] or ""))
+        roles = [chat.role_of(r) for _, r, _ in rows]
+        for (turn, _, _), x in zip(rows, chat.render(roles, [t for *_, t in rows], chat.whole(roles)), strict=True):
+            yield (conv, turn, *x)
 
 
 def test_op5_over_partitions(spark):
-    """A conversation that spans all partitions among short ones."""
+    """A conversation that spans all partitions among short ones: the same rows however they are cut."""
     rng = random.Random(5)
     turns = [(c, k, rng.choice(["user", "assistant", "system", "human", None]), f"t{k}") for c in range(8) for k in range(400 if c == 3 else rng.randint(1, 4))]
+    want = sorted(chats(turns))
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    got = chat.format_chats(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(7)).collect()
+    for n in (1, 7, 211):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        assert sorted(map(tuple, chat.format_chats(df.repartition(3)).collect())) == want
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    by = collections.defaultdict(list)
-    for r in sorted(got, key=lambda r: (r.conv_id, r.turn)):
-        by[r.conv_id].append(r)
-    for c, rows in by.items():
-        text = "".join(r.segment for r in rows)
-        assert re.fullmatch("s?(ua)+", "".join(re.findall(r"<\|im_start\|>(\w)\w*\n", text)))
-        assert text.count("<|im_start|>") == text.count("<|im_end|>\n")
-        roles = [chat.role_of(x[2]) for x in turns if x[0] == c]
-        whole = chat.ONE
-        for r in roles:
-            whole = chat.times(whole, chat.STEP[r])
-        assert sum(r.cost for r in rows) == min(whole[0][t] + chat.ending(t) for t in range(4))
+
+
+def test_op5_ties_do_not_depend_on_partitions(spark):
+    """Repeated turns and roles, and repeated rows: (turn, role, text) decide, wherever rows stand."""
+    rng = random.Random(6)
+    turns = [(1, rng.randrange(5), rng.choice(["user", "assistant", None]), rng.choice(["a", "b", "c", "d"])) for _ in range(300)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    found = []
+    for n in (1, 7, 50):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        found.append("".join(r.segment for r in chat.format_chats(df.repartition(n)).collect()))
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert found[0] == found[1] == found[2]
+
+
+def test_op5(spark):
+    turns = [tuple(r) for r in spark.read.parquet(f"{SF}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
+    assert len({(c, t) for c, t, *_ in turns}) == len(turns)
+    assert sorted(map(tuple, queries.op5_chat_format(spark, SF).collect())) == sorted(chats(turns))
 
 
 def classes(texts, ids):
