@@ -1,13 +1,15 @@
 """Benchmark decontamination with one Aho-Corasick automaton.
 
 Texts are normalised to their words (ASCII letters in lower case, digits and all non-ASCII characters; the rest
-separates), each between single blanks. A benchmark item's windows are its runs of `window` consecutive words, or the
-whole item when it has fewer. All windows of all items stand in one automaton, and every text is scanned once; the
-places of its matches are kept as word numbers, which map back to character offsets of the original text.
+separates). A benchmark item's windows are its runs of `window` consecutive words, or the whole item when it has fewer.
+All windows of all items stand in one automaton whose symbols are words, numbered by a dictionary of the benchmark's
+words, and every text is scanned once; matches are word numbers, which map back to character offsets of the original
+text. An automaton has about ten nodes of 40 bytes for each word of the benchmark.
 
-The automaton goes to the workers with its task. Benchmarks are small; items are read in their entirety only up to
-`block_bytes` of text at a time, and a larger benchmark is scanned in blocks of items whose results are merged by
-document, so no broadcast grows with the data.
+The benchmark's size is looked at first. Up to `block_bytes` of text all of it is broadcast, and documents are scanned
+in one pass without an exchange. A larger benchmark is dealt by a hash of its items into blocks of about that size,
+which are scanned one after the other, so no broadcast grows with the data; the hit words of all blocks are merged
+before anything is derived from them, so the rows are the same for any size of block.
 
 Nulls: a null text or item has no words; an item without words has no windows. A row with a null id is scanned like
 any other. Repeated item ids count once each per document; a null item id counts as the string "null". Ties and
@@ -17,19 +19,20 @@ repeated rows need no rule, each row is judged alone. An empty benchmark contami
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from functools import lru_cache, reduce
+from itertools import chain, repeat
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexiquarry.llm.common import stage
 
 WINDOW = 10
 
-#: Item text in one automaton: each byte is in up to `window` windows, and a node takes some 50 bytes.
-BLOCK_BYTES = 200_000
+#: Item text in one automaton: it takes some 60 times that in a worker.
+BLOCK_BYTES = 2_000_000
 
 #: What is no word character, as bytes: ASCII other than letters and digits. Letters A-Z become a-z.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256))
@@ -41,45 +44,60 @@ def words(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(_FOLD).split()
 
 
-def windows(text: str | None, window: int = WINDOW) -> set[str]:
-    """The distinct windows of an item, each between blanks."""
+def windows(text: str | None, window: int = WINDOW) -> set[tuple[bytes, ...]]:
+    """The distinct windows of an item."""
     w = words(text)
     n = min(window, len(w))
-    return {f" {b' '.join(w[k : k + n]).decode()} " for k in range(len(w) - n + 1)} if w else set()
+    return {tuple(w[k : k + n]) for k in range(len(w) - n + 1)} if w else set()
+
+
+Items = tuple[tuple[str, str | None], ...]
 
 
 @lru_cache(maxsize=1)
-def automaton(items: tuple[tuple[str, str | None], ...], window: int = WINDOW):
-    """One automaton over the windows of items; None without any."""
+def automaton(items: Items, window: int = WINDOW):
+    """The numbers of the benchmark's words, and one automaton over the windows of items; None without any."""
     import ahocorasick
 
-    found: dict[str, set[str]] = {}
+    found: dict[tuple[bytes, ...], set[str]] = {}
     for item, text in items:
         for x in windows(text, window):
             found.setdefault(x, set()).add(item)
-    machine = ahocorasick.Automaton()
-    for x, owners in found.items():
-        machine.add_word(x, (x.count(" ") - 1, tuple(sorted(owners))))
     if not found:
         return None
+    numbers: dict[bytes, int] = {}  # from 1 on; 0 is every other word
+    machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for x, owners in found.items():
+        machine.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in x), (len(x), tuple(sorted(owners))))
     machine.make_automaton()
-    return machine
+    return numbers, machine
+
+
+Runs = list[tuple[int, int]]
+
 
+def merged(runs: Iterable[tuple[int, int]]) -> Runs:
+    """Runs [from, to) in order and apart."""
+    out: Runs = []
+    for a, b in sorted(runs):
+        if out and out[-1][1] >= a:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
 
-def scan(machine, text: str | None) -> tuple[int, list[tuple[int, int]], set[str]]:
+
+def scan(built, text: str | None) -> tuple[int, Runs, set[str]]:
     """Number of words, hit runs of words [from, to) in order and apart, and the items with windows that occur."""
     w = words(text)
-    runs: list[tuple[int, int]] = []
+    runs: Runs = []
     items: set[str] = set()
-    if machine is None or not w:
+    if built is None or not w:
         return len(w), runs, items
-    line = f" {b' '.join(w).decode()} "
-    at = seen = 0  # words that end before `at`
-    for end, (n, owners) in machine.iter(line):
+    numbers, machine = built
+    for last, (n, owners) in machine.iter(tuple(map(numbers.get, w, repeat(0)))):
         items.update(owners)
-        seen += line.count(" ", at, end)
-        at = end
-        a, b = seen - n, seen
+        a, b = last + 1 - n, last + 1
         while runs and runs[-1][1] >= a:  # ends never fall
             a = min(a, runs.pop()[0])
         runs.append((a, b))
@@ -92,17 +110,56 @@ def offsets(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(spans[a][0], spans[b - 1][1]) for a, b in runs]
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[tuple[tuple[str, str | None], ...]]:
-    rows = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("item"), F.col(text_col).alias("text"))
-    block, held = [], 0
-    for r in rows.toLocalIterator():
-        size = len(r["text"] or "")
-        if block and held + size > block_bytes:
-            yield tuple(block)
-            block, held = [], 0
-        block.append((r["item"], r["text"]))
-        held += size
-    yield tuple(block)
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> Iterator[Items]:
+    """The items by blocks of about block_bytes."""
+    item = F.coalesce(F.col(item_col).cast("string"), F.lit("null"))
+    rows = benchmark.select(item.alias("item"), F.col(text_col).alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    count = -(-size // block_bytes) or 1
+    for k in range(count):
+        block = rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k)
+        yield tuple((r["item"], r["text"]) for r in block.collect())
+
+
+_PAIRS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _hits(rows: DataFrame, items: Items, window: int) -> DataFrame:
+    """rows (doc_id, seq, text) as (doc_id, seq, n_words, runs, spans, items), with the hits of one automaton."""
+    sent = rows.sparkSession.sparkContext.broadcast(items)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        built = automaton(sent.value, window)
+        for batch in batches:
+            texts = batch.column(2).to_pylist()
+            found = [scan(built, t) for t in texts]
+            yield _found(batch.column(0), batch.column(1), texts, found)
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, {_FOUND}")
+
+
+_FOUND = "seq long, n_words long, runs array<struct<a:long,b:long>>, spans array<struct<start:long,end:long>>, items array<string>"
+
+
+def _found(ids: pa.Array, seqs: pa.Array, texts: list[str | None], found: list[tuple[int, Runs, set[str]]]) -> pa.RecordBatch:
+    columns = [
+        pa.array([n for n, _, _ in found], pa.int64()),
+        pa.array([[{"a": a, "b": b} for a, b in runs] for _, runs, _ in found], _PAIRS),
+        pa.array([[{"start": a, "end": b} for a, b in offsets(t, runs)] if runs else [] for t, (_, runs, _) in zip(texts, found, strict=True)], _SPANS),
+        pa.array([sorted(hit) for _, _, hit in found], pa.list_(pa.string())),
+    ]
+    return pa.RecordBatch.from_arrays([ids, seqs, *columns], ["doc_id", "seq", "n_words", "runs", "spans", "items"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hits of all blocks in each text as one."""
+    for batch in batches:
+        texts, found = batch.column(2).to_pylist(), []
+        for text, runs, items in zip(texts, batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+            found.append((len(words(text)), merged((r["a"], r["b"]) for block in runs or [] for r in block), {x for block in items or [] for x in block}))
+        yield _found(batch.column(0), batch.column(1), texts, found)
 
 
 def decontaminate(
@@ -116,53 +173,17 @@ def decontaminate(
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per row of docs: doc_id, n_words, runs (hit words), spans (characters), items (sorted strings)."""
-    kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, seq long, n_words long, runs array<struct<a:long,b:long>>, spans array<struct<start:long,end:long>>, items array<string>"
-    types = [pa.int64(), pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())])), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.list_(pa.string())]
-
-    def scanner(items: tuple[tuple[str, str | None], ...]):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            machine = automaton(items, window)
-            for batch in batches:
-                out: list[list] = [[], [], [], []]
-                for text in batch.column(2).to_pylist():
-                    n, runs, hit = scan(machine, text)
-                    for to, x in zip(out, (n, [{"a": a, "b": b} for a, b in runs], [{"start": a, "end": b} for a, b in offsets(text, runs)] if runs else [], sorted(hit)), strict=True):
-                        to.append(x)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), *(pa.array(x, t) for x, t in zip(out, types, strict=True))],
-                    ["doc_id", "seq", "n_words", "runs", "spans", "items"],
-                )
-
-        return run
-
     rows = docs.select(F.col(id_col).alias("doc_id"), F.lit(0).cast("long").alias("seq"), F.col(text_col).alias("text"))
     blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
-    first, more = next(blocks), next(blocks, None)
-    if more is None:
-        return rows.mapInArrow(scanner(first), schema).drop("seq")
-    numbered = stage(rows.withColumn("seq", F.monotonically_increasing_id()), "numbered")
-    found = stage(numbered.mapInArrow(scanner(first), schema), "scan")
-    while more is not None:
-        found = stage(found.unionByName(numbered.mapInArrow(scanner(more), schema)), "scan")
-        more = next(blocks, None)
-
-    def merged(runs: Column, a: str, b: str) -> Column:
-        step = lambda acc, x: F.when(
-            (F.size(acc) > 0) & (F.element_at(acc, -1)[b] >= x[a]),
-            F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)[a].alias(a), F.greatest(F.element_at(acc, -1)[b], x[b]).alias(b)))),
-        ).otherwise(F.concat(acc, F.array(x)))
-        kind = f"array<struct<{a}:bigint,{b}:bigint>>"
-        return F.aggregate(F.array_sort(F.flatten(runs)).cast(kind), F.array().cast(kind), step)
-
-    # Word runs that touch are one run; of different blocks their spans stay apart.
-    return found.groupBy("seq").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.max("n_words").alias("n_words"),
-        merged(F.collect_list("runs"), "a", "b").alias("runs"),
-        merged(F.collect_list("spans"), "start", "end").alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    ).drop("seq")
+    first, second = next(blocks), next(blocks, None)
+    if second is None:
+        return _hits(rows, first, window).drop("seq")
+    rows = stage(rows.withColumn("seq", F.monotonically_increasing_id()), "numbered")
+    parts = [stage(_hits(rows, items, window).filter(F.size("runs") > 0).select("seq", "runs", "items"), "hits") for items in chain((first, second), blocks)]
+    hits = reduce(DataFrame.unionByName, parts).groupBy("seq").agg(F.collect_list("runs").alias("runs"), F.collect_list("items").alias("items"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    whole = rows.join(hits, "seq", "left").select("doc_id", "seq", "text", "runs", "items")
+    return whole.mapInArrow(_gathered, f"doc_id {kind}, {_FOUND}").drop("seq")
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -185,14 +206,16 @@ def keep_clean(
     """The rows of docs, with their own columns, in which no window of the benchmark occurs."""
     at = docs.columns.index(text_col)
 
-    def filtering(items: tuple[tuple[str, str | None], ...]):
+    def filtering(items: Items):
+        sent = docs.sparkSession.sparkContext.broadcast(items)
+
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            machine = automaton(items, window)
+            built = automaton(sent.value, window)
             for batch in batches:
-                yield batch.filter(pa.array([not scan(machine, t)[1] for t in batch.column(at).to_pylist()], pa.bool_()))
+                yield batch.filter(pa.array([not scan(built, t)[1] for t in batch.column(at).to_pylist()], pa.bool_()))
 
         return run
 
-    for items in _blocks(benchmark, item_col, item_text_col, block_bytes):
-        docs = docs.mapInArrow(filtering(items), docs.schema)
+    for k, items in enumerate(_blocks(benchmark, item_col, item_text_col, block_bytes)):
+        docs = (stage(docs, "kept") if k else docs).mapInArrow(filtering(items), docs.schema)
     return docs

@@ -274,3 +274,17 @@ def test_every_label_is_learned(spark):
 def test_held_out_rows_are_the_contract_s(spark):
     ids = spark.range(300).select("id", language_id.held_out(F.col("id")).alias("h"))
     assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in ids.collect())
+
+
+def test_decontamination_for_any_size_of_block(spark):
+    """Items that overlap each other, and short ones: the same rows, spans too, however the benchmark is dealt."""
+    prepare(spark)
+    word = [f"w{k}" for k in range(60)]
+    items = [(k, " ".join(word[k : k + 14])) for k in range(0, 46, 4)] + [(100, "w1, W2!"), (101, None), (102, "w59"), (103, "...")]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(1, " -- ".join(word)), (2, "x w1 w2 y w59"), (3, None), (4, "nothing"), (5, ". ".join(word[5:16]))], "doc_id long, text string")
+    want = sorted(map(repr, decontaminate.decontaminate(docs, items).collect()))
+    assert any("start=0, end=392" in r for r in want)
+    for size in (1, 60, 150, 400):
+        assert sorted(map(repr, decontaminate.decontaminate(docs, items, block_bytes=size).collect())) == want
+        assert sorted(r.doc_id for r in decontaminate.keep_clean(docs, items, block_bytes=size).collect()) == [3, 4]
