@@ -117,8 +117,9 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     count = -(-size // block_bytes) or 1
     for k in range(count):
-        block = rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k)
-        yield tuple((r["item"], r["text"]) for r in block.collect())
+        block = rows.filter(F.pmod(F.xxhash64("item", "text"), F.lit(count)) == k).collect()
+        if block or not k:
+            yield tuple((r["item"], r["text"]) for r in block)
 
 
 _PAIRS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
