@@ -5,14 +5,19 @@ zeros move stably before the ones. With counts of ones before each block of a pl
 place), rank and count (how often an id occurs before a place) and select (where it occurs) in one step per plane,
 without the sequence itself.
 
+A plane is kept in frames of `FRAME` bits, each compressed by itself, with the ones before each frame in a directory and
+those before each block of `BLOCK` bits in front of the frame's bits. A query reads the directories and inflates one
+frame per plane and step (select: two), however large the shard is; the last frames used are remembered.
+
 A shard holds whole documents in ascending id order, about `shard_tokens` ids of them. Its file, all integers little-
 endian but the count at byte 8: magic, version and bits (8 bytes), ids (8 bytes, big-endian, so that Spark reads it
-with hex and conv), documents (8 bytes), then for the document ids, their nulls, the documents' lengths and each plane
-a length and a zstandard frame, and a closing mark. Files are rows of Spark's text writer: they are committed by Spark
+with hex and conv), documents (8 bytes); then for the document ids, their nulls and the documents' lengths a length and
+a zstandard frame; for each plane the number of its frames, the ones before each and in all, and the frames' lengths;
+then all frames, plane by plane, and a closing mark. Files are rows of Spark's text writer: they are committed by Spark
 to any of its file systems. Documents are put in order by a range exchange on the id, whose partitions stay in order.
 
 Nulls: a null text is empty (it still has its end id); null ids come first. Repeated rows are repeated documents; rows
-with equal ids come in any order among themselves. A document that is longer than a shard has one of its own. An empty
+with equal ids stand in the order of a hash of their texts, and are spread over files like any others. A document that is longer than a shard has one of its own. An empty
 table gives no file and an empty result.
 """
 
@@ -20,7 +25,10 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections import OrderedDict
 from collections.abc import Iterator
+from dataclasses import dataclass, field
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -29,32 +37,96 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexiquarry.llm.bpe import encoder
+from lexiquarry.llm.common import small
 
 #: Fixed values of the format: the mark that begins a file and the one that closes it.
-MAGIC, CLOSE = b"LQWM\x01", "LQWMEND\n"
+MAGIC, CLOSE = b"LQWM\x02", "LQWMEND\n"
 
 SHARD_TOKENS = 4_000_000
 #: Of the encoder's memos, 330 MB in a Python worker: nothing else that this operator does needs memory.
 MEMO = (2_000_000, 300_000)
-#: Bits in a block of a plane's rank directory.
-BLOCK = 512
+#: Bits in a block of a plane's rank directory, and in a frame; frames of a plane that a reader remembers.
+BLOCK, FRAME, REMEMBERED = 512, 1 << 18, 4
+#: Tasks that wrote shards whose sizes are added up by Spark; sums of so many tasks each come to the driver.
+TASKS = 1024
+
+
+@dataclass
+class Plane:
+    """A bit-plane of n bits, first bit of a byte first, in compressed frames; ones: before each frame, and in all."""
+
+    n: int
+    ones: np.ndarray
+    frames: list[bytes | memoryview]
+    inflated: int = 0
+    held: OrderedDict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=OrderedDict)
+
+    @classmethod
+    def of(cls, bits: np.ndarray) -> Plane:
+        coder, frames, ones = zstandard.ZstdCompressor(level=1), [], [0]
+        for at in range(0, len(bits), FRAME):
+            packed = np.packbits(bits[at : at + FRAME])
+            padded = np.zeros(-(-len(packed) // (BLOCK // 8)) * (BLOCK // 8), np.uint8)
+            padded[: len(packed)] = packed
+            before = np.cumsum(np.bitwise_count(padded).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.uint32), dtype="<u4")
+            frames.append(coder.compress(before.tobytes() + packed.tobytes()))
+            ones.append(ones[-1] + int(before[-1]))
+        return cls(len(bits), np.array(ones, "<u8"), frames)
+
+    def frame(self, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ones up to the end of each block of a frame, and its packed bits."""
+        found = self.held.get(k)
+        if found is None:
+            raw = zstandard.ZstdDecompressor().decompress(self.frames[k])
+            blocks = -(-min(FRAME, self.n - k * FRAME) // BLOCK)
+            found = np.frombuffer(raw, "<u4", blocks), np.frombuffer(raw, np.uint8, offset=4 * blocks)
+            self.inflated += 1
+            self.held[k] = found
+            if len(self.held) > REMEMBERED:
+                self.held.popitem(last=False)
+        else:
+            self.held.move_to_end(k)
+        return found
+
+    @property
+    def zeros(self) -> int:
+        return self.n - int(self.ones[-1])
+
+    def bits(self) -> np.ndarray:
+        """All of the plane as booleans."""
+        packed = [np.frombuffer(zstandard.ZstdDecompressor().decompress(f), np.uint8)[4 * -(-min(FRAME, self.n - k * FRAME) // BLOCK) :] for k, f in enumerate(self.frames)]
+        return np.unpackbits(np.concatenate([*packed, np.empty(0, np.uint8)]), count=self.n).view(bool)
+
+    def rank1(self, at: int) -> tuple[int, int]:
+        """Ones before `at`, and the bit there (0 at the end)."""
+        if at >= self.n:
+            return int(self.ones[-1]), 0
+        k, at = divmod(at, FRAME)
+        before, packed = self.frame(k)
+        block, byte = at // BLOCK, at >> 3
+        ones = int(self.ones[k]) + (int(before[block - 1]) if block else 0) + int(np.bitwise_count(packed[block * (BLOCK // 8) : byte]).sum())
+        here = int(packed[byte])
+        return ones + (here >> (8 - (at & 7))).bit_count(), here >> (7 - (at & 7)) & 1
+
+    def select(self, one: int, k: int) -> int:
+        """Place of the k-th (from 0) bit with this value, by the directory of frames, that of blocks, and the block."""
+        ends = self.ones[1:] if one else np.minimum(np.arange(1, len(self.ones)) * FRAME, self.n) - self.ones[1:].astype(np.int64)
+        frame = int(np.searchsorted(ends, k, side="right"))
+        k -= int(ends[frame - 1]) if frame else 0
+        before, packed = self.frame(frame)
+        ends = before if one else np.minimum(np.arange(1, len(before) + 1) * BLOCK, self.n - frame * FRAME) - before.astype(np.int64)
+        block = int(np.searchsorted(ends, k, side="right"))
+        k -= int(ends[block - 1]) if block else 0
+        here = np.unpackbits(packed[block * (BLOCK // 8) : (block + 1) * (BLOCK // 8)])
+        return frame * FRAME + block * BLOCK + int(np.flatnonzero(here == one)[k])
 
 
 class WaveletMatrix:
     """A sequence of ids below 2**bits."""
 
-    def __init__(self, n: int, planes: list[np.ndarray]):
-        self.n, self.bits = n, len(planes)
-        self.planes = planes  # packed, first bit of a byte first
-        self._ones = [self._directory(p) for p in planes]
-        self.zeros = [n - int(d[-1]) for d in self._ones]
-
-    @staticmethod
-    def _directory(plane: np.ndarray) -> np.ndarray:
-        """Ones before each block, and all ones last."""
-        padded = np.zeros(-(-len(plane) // (BLOCK // 8)) * (BLOCK // 8), np.uint8)
-        padded[: len(plane)] = plane
-        return np.concatenate([[0], np.cumsum(np.bitwise_count(padded).reshape(-1, BLOCK // 8).sum(axis=1, dtype=np.int64))])
+    def __init__(self, n: int, planes: list[Plane]):
+        self.n, self.bits, self.planes = n, len(planes), planes
+        self.zeros = [p.zeros for p in planes]
 
     @classmethod
     def of(cls, ids: np.ndarray) -> WaveletMatrix:
@@ -63,7 +135,7 @@ class WaveletMatrix:
         planes = []
         for level in range(bits - 1, -1, -1):
             one = (now & now.dtype.type(1 << level)).astype(bool)
-            planes.append(np.packbits(one))
+            planes.append(Plane.of(one))
             now = np.concatenate([now[~one], now[one]])
         return cls(len(ids), planes)
 
@@ -72,7 +144,7 @@ class WaveletMatrix:
         kind = np.dtype(np.uint16 if self.bits <= 16 else np.uint32)
         now = np.zeros(self.n, kind)
         for level, plane in enumerate(reversed(self.planes)):
-            one = np.unpackbits(plane, count=self.n).view(bool)
+            one = plane.bits()
             zeros = self.zeros[self.bits - 1 - level]
             before = np.empty(self.n, kind)
             before[~one] = now[:zeros]
@@ -80,27 +152,10 @@ class WaveletMatrix:
             now = before
         return now.astype(np.uint32)
 
-    def _rank1(self, level: int, at: int) -> int:
-        """Ones of a plane before `at`."""
-        block, plane = at // BLOCK, self.planes[level]
-        a, b = block * (BLOCK // 8), at >> 3
-        ones = int(self._ones[level][block]) + int(np.bitwise_count(plane[a:b]).sum())
-        return ones + (int(plane[b]) >> (8 - (at & 7))).bit_count() if at & 7 else ones
-
-    def _select(self, level: int, one: int, k: int) -> int:
-        """Place of the k-th (from 0) bit with this value in a plane."""
-        lo, hi = 0, self.n
-        while lo < hi:
-            mid = (lo + hi) // 2
-            ones = self._rank1(level, mid + 1)
-            lo, hi = (lo, mid) if (ones if one else mid + 1 - ones) > k else (mid + 1, hi)
-        return lo
-
     def access(self, at: int) -> int:
         value = 0
         for level in range(self.bits):
-            one = int(self.planes[level][at >> 3]) >> (7 - (at & 7)) & 1
-            ones = self._rank1(level, at)
+            ones, one = self.planes[level].rank1(at)
             at = self.zeros[level] + ones if one else at - ones
             value = value << 1 | one
         return value
@@ -111,7 +166,7 @@ class WaveletMatrix:
         if value >> self.bits:
             return 0, 0
         for level in range(self.bits):
-            x, y = self._rank1(level, a), self._rank1(level, b)
+            x, y = self.planes[level].rank1(a)[0], self.planes[level].rank1(b)[0]
             a, b = (self.zeros[level] + x, self.zeros[level] + y) if value >> (self.bits - 1 - level) & 1 else (a - x, b - y)
         return a, b
 
@@ -131,7 +186,7 @@ class WaveletMatrix:
         at = a + k
         for level in range(self.bits - 1, -1, -1):
             one = value >> (self.bits - 1 - level) & 1
-            at = self._select(level, one, at - self.zeros[level] if one else at)
+            at = self.planes[level].select(one, at - self.zeros[level] if one else at)
         return at
 
     def occurrences(self, value: int) -> list[int]:
@@ -141,29 +196,42 @@ class WaveletMatrix:
 def pack(doc_ids: list[int | None], lengths: list[int], ids: np.ndarray) -> bytes:
     """A shard's file, but for the closing mark."""
     matrix = WaveletMatrix.of(ids)
-    parts = [np.array([x or 0 for x in doc_ids], "<i8"), np.array([x is None for x in doc_ids], np.uint8), np.array(lengths, "<u8"), *matrix.planes]
+    parts = [np.array([x or 0 for x in doc_ids], "<i8"), np.array([x is None for x in doc_ids], np.uint8), np.array(lengths, "<u8")]
     coder = zstandard.ZstdCompressor(level=1)
-    frames = [coder.compress(x.tobytes()) for x in parts]
-    head = MAGIC + struct.pack("<BH", matrix.bits, 0) + struct.pack(">Q", len(ids)) + struct.pack("<Q", len(doc_ids))
-    return head + b"".join(struct.pack("<Q", len(x)) + x for x in frames)
+    out = [MAGIC + struct.pack("<BH", matrix.bits, 0) + struct.pack(">Q", len(ids)) + struct.pack("<Q", len(doc_ids))]
+    for frame in (coder.compress(x.tobytes()) for x in parts):
+        out += [struct.pack("<Q", len(frame)), frame]
+    for plane in matrix.planes:
+        out += [struct.pack("<Q", len(plane.frames)), plane.ones.astype("<u8").tobytes(), np.array([len(f) for f in plane.frames], "<u4").tobytes()]
+    return b"".join([*out, *(f for plane in matrix.planes for f in plane.frames)])
 
 
 def unpack(raw: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix]:
-    """Document ids, their lengths and the matrix of a shard's file."""
+    """Document ids, their lengths and the matrix of a shard's file; its planes are inflated only where they are read."""
     if raw[:5] != MAGIC or not raw.endswith(CLOSE.encode()):
         raise ValueError("not a shard of token ids, or cut off")
     (n,), (docs,) = struct.unpack_from(">Q", raw, 8), struct.unpack_from("<Q", raw, 16)
     at, parts, decoder = 24, [], zstandard.ZstdDecompressor()
-    for _ in range(3 + raw[5]):
+    for _ in range(3):
         (size,) = struct.unpack_from("<Q", raw, at)
         parts.append(decoder.decompress(raw[at + 8 : at + 8 + size]))
         at += 8 + size
     null = np.frombuffer(parts[1], np.uint8)
     ids = [None if z else x for x, z in zip(np.frombuffer(parts[0], "<i8").tolist(), null.tolist(), strict=True)]
     lengths = np.frombuffer(parts[2], "<u8").astype(np.int64)
-    if len(ids) != docs or lengths.sum() != n:
+    directories = []
+    for _ in range(raw[5]):
+        (count,) = struct.unpack_from("<Q", raw, at)
+        directories.append((np.frombuffer(raw, "<u8", count + 1, at + 8), np.frombuffer(raw, "<u4", count, at + 16 + 8 * count).tolist()))
+        at += 16 + 12 * count
+    view, planes = memoryview(raw), []
+    for ones, sizes in directories:
+        ends = np.cumsum([at, *sizes]).tolist()
+        planes.append(Plane(n, ones, [view[a:b] for a, b in pairwise(ends)]))
+        at = ends[-1]
+    if len(ids) != docs or lengths.sum() != n or at + len(CLOSE) != len(raw):
         raise ValueError("a shard's directory does not match its ids")
-    return ids, lengths, WaveletMatrix(n, [np.frombuffer(p, np.uint8) for p in parts[3:]])
+    return ids, lengths, WaveletMatrix(n, planes)
 
 
 def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_tokens: int = SHARD_TOKENS) -> None:
@@ -191,7 +259,9 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
         if raw:
             yield shard()
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    keys = [F.col("doc_id"), F.xxhash64("text"), F.col("at")]  # a repeated id is spread, too
+    rows = rows.withColumn("at", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("at")
     blobs = rows.mapInArrow(encode, "shard string, blob binary")
     blobs.select("shard", F.col("blob").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", CLOSE).text(path)
 
@@ -205,16 +275,19 @@ def shard_files(spark: SparkSession, path: str) -> DataFrame:
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
     """A row per document: doc_id, start, n_tokens, ids_crc32 (of the ids as little-endian 32-bit integers).
 
-    Starts add up the counts in the files' headers. Only a sum per writing task comes to the driver.
+    Starts add up the counts in the files' headers, within `TASKS` writing tasks by a window; the sums of so many tasks
+    each come to the driver.
     """
     files = shard_files(spark, path)
     n = F.conv(F.hex(F.substring("content", 9, 8)), 16, 10).cast("long")
-    sizes = files.select("shard", F.substring_index("shard", "-", 1).alias("task"), n.alias("n"))
-    tasks = sorted(sizes.groupBy("task").agg(F.sum("n").alias("n")).collect())
-    bases = dict(zip((t for t, _ in tasks), np.cumsum([0, *(k for _, k in tasks)]).tolist(), strict=False))
-    base = spark.createDataFrame(list(bases.items()), "task string, base long")
-    before = F.sum("n").over(Window.partitionBy("task").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    starts = sizes.withColumn("before", F.coalesce(before, F.lit(0))).join(F.broadcast(base), "task").select("shard", (F.col("base") + F.col("before")).alias("shard_start"))
+    part = lambda k: F.regexp_extract("shard", r"s(\d+)-(\d+)", k).cast("long")
+    sizes = files.select("shard", part(1).alias("task"), part(2).alias("number"), n.alias("n")).withColumn("tasks", F.floor(F.col("task") / TASKS))
+    sums = sorted(sizes.groupBy("tasks").agg(F.sum("n").alias("n")).collect())
+    bases = np.cumsum([0, *(k for _, k in sums)]).tolist()
+    base = spark.createDataFrame([(t, b) for (t, _), b in zip(sums, bases, strict=False)], "tasks long, base long")
+    before = F.sum("n").over(Window.partitionBy("tasks").orderBy("task", "number").rowsBetween(Window.unboundedPreceding, -1))
+    starts = sizes.withColumn("before", F.coalesce(before, F.lit(0))).join(small(base, len(sums)), "tasks")
+    starts = starts.select("shard", (F.col("base") + F.col("before")).alias("shard_start"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -288,3 +288,42 @@ def test_decontamination_for_any_size_of_block(spark):
     for size in (100, 300):
         assert sorted(map(repr, decontaminate.decontaminate(docs, items, block_bytes=size).collect())) == want
         assert sorted(r.doc_id for r in decontaminate.keep_clean(docs, items, block_bytes=size).collect()) == [3, 4]
+
+
+def test_a_written_shard_answers_without_being_inflated(spark, monkeypatch, library):
+    """Access, count and occurrences on the file, with frames of 1,024 bits."""
+    prepare(spark)
+    monkeypatch.setattr(wavelet, "FRAME", 1024)
+    rng = np.random.default_rng(4)
+    x = rng.integers(0, 5000, 200_000).astype(np.uint32)
+    x[rng.integers(0, len(x), 300)] = 4321
+    raw = wavelet.pack([7], [len(x)], x) + wavelet.CLOSE.encode()
+    *_, m = wavelet.unpack(raw)
+    assert sum(p.inflated for p in m.planes) == 0
+    at = int(np.flatnonzero(x == 4321)[5])
+    assert m.access(at) == 4321 and m.rank(4321, at) == 5 and m.select(4321, 5) == at
+    assert sum(p.inflated for p in m.planes) <= 8 * m.bits < sum(len(p.frames) for p in m.planes) / 8
+    assert m.count(4321) == (x == 4321).sum() and m.occurrences(4321) == np.flatnonzero(x == 4321).tolist()
+    assert m.count(5001) == 0 and (m.tokens() == x).all()
+    monkeypatch.undo()
+
+    docs = spark.createDataFrame([(k, f"some text number {k} " * 40) for k in range(30)], "doc_id long, text string")
+    path = shared_path(spark, "shards")
+    wavelet.write_shards(docs, path, PATH, 2, shard_tokens=700)
+    for r in wavelet.shard_files(spark, path).collect():
+        doc_ids, lengths, m = wavelet.unpack(bytes(r.content))
+        ids = [i for d in doc_ids for i in [*ids_of(library, f"some text number {d} " * 40), 2]]
+        assert lengths.sum() == len(ids) and m.count(2) == len(doc_ids)
+        assert m.occurrences(2) == [k for k, i in enumerate(ids) if i == 2] and m.access(len(ids) // 2) == ids[len(ids) // 2]
+
+
+def test_starts_follow_numbers_not_names(spark, monkeypatch):
+    prepare(spark)
+    names = ["s999999-999999", "s999999-1000000", "s1000000-000000", "s1000000-000001"]
+    blobs = [(name, wavelet.pack([k], [k + 1], np.full(k + 1, 9, np.uint32))) for k, name in enumerate(names)]
+    path = shared_path(spark, "shards")
+    df = spark.createDataFrame(blobs, "shard string, blob binary")
+    df.select("shard", F.col("blob").cast("string").alias("value")).write.partitionBy("shard").option("lineSep", wavelet.CLOSE).text(path)
+    for tasks in (1024, 1):
+        monkeypatch.setattr(wavelet, "TASKS", tasks)
+        assert sorted((r.doc_id, r.start, r.n_tokens) for r in wavelet.read_shards(spark, path).collect()) == [(0, 0, 1), (1, 1, 2), (2, 3, 3), (3, 6, 4)]
