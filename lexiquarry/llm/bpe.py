@@ -23,7 +23,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -40,6 +39,8 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 
 #: Characters whose classes all versions of Unicode agree on.
 _PLAIN = re.compile(r"[\n -~À-ÖØ-öø-ɏ]*")
+#: One word of letters for certain.
+_LETTERS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ɏ]+")
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -103,8 +104,10 @@ class ForcedBoundaryBPE:
         self.inside = inside
         self._inside = inside.tobytes()
         self._pairs = set(map(tuple, np.argwhere(inside).tolist()))
-        self._ascii_pairs = {(chr(a), chr(b)) for a, b in self._pairs if a < 128 and b < 128}
         self._space = alphabet[32]
+        self._id_bytes = [k.to_bytes(4, "little") for k in range(size)]
+        #: Whether an added token may stand within a word of letters.
+        self._lettered = any(t["content"].isalpha() for t in added)
         self._shown = str.maketrans({chr(b): c for b, c in alphabet.items()})
         self._hidden = str.maketrans({c: chr(b) for b, c in alphabet.items()})
         self._special = re.compile("|".join(map(re.escape, sorted((t["content"] for t in added), key=len, reverse=True)))) if added else None
@@ -113,12 +116,14 @@ class ForcedBoundaryBPE:
         self._tokenize = self.library.model.tokenize
         self._fragments = _Memo(self._merge, memo[1])
         self._pieces = _Memo(self._piece, memo[0])
+        self._newline = self._encode_words("\n")
 
     def _merge(self, fragment: bytes) -> bytes:
         return self._ids(fragment.decode("latin-1").translate(self._shown))
 
     def _ids(self, shown: str) -> bytes:
-        return array("I", [t.id for t in self._tokenize(shown)]).tobytes()
+        tokens = self._id_bytes
+        return b"".join([tokens[t.id] for t in self._tokenize(shown)])
 
     def fragments(self, word: bytes) -> list[bytes]:
         """word, cut at every byte pair that no vocabulary token holds."""
@@ -139,13 +144,21 @@ class ForcedBoundaryBPE:
 
     def _piece(self, piece: str) -> bytes | None:
         last = piece[-1:]
+        if not piece:
+            return b""
         if last.isspace():
             return None
+        if _LETTERS.fullmatch(piece) and not self._lettered:  # one word
+            raw = piece.encode()
+            if not self._pairs.issuperset(zip(raw, raw[1:])):  # noqa: B905
+                return b"".join([self._fragments[f] for f in self.fragments(raw)])
+            if len(raw) != len(piece):
+                return self._merge(raw)
+            return self._ids(self._space + piece[1:] if piece[0] == " " else piece)
         if last in ".,;:" and piece[-2:-1].isalpha():  # a word, then a mark of its own
             return self._pieces[piece[:-1]] + self._pieces[last]
-        if piece[1:].isalpha() and piece.isascii() and (piece[0] == " " or piece[0].isalpha()) and not (self._special and self._special.search(piece)):
-            if self._ascii_pairs.issuperset(zip(piece, piece[1:], strict=False)):  # one word, and one fragment
-                return self._ids(self._space + piece[1:] if piece[0] == " " else piece)
+        if piece[0] == "\n" and _LETTERS.match(piece, 1) and piece[1] != " ":  # white space that a letter ends
+            return self._newline + self._pieces[piece[1:]]
         return self._whole(piece)
 
     def _whole(self, piece: str) -> bytes:

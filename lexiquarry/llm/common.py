@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.session import shared_root, ship, table
 
-__all__ = ["drop", "fresh", "keyed", "prepare", "shared_path", "small", "stage", "table"]
+__all__ = ["drop", "fresh", "keyed", "prepare", "shared_path", "slim_rows", "small", "stage", "table"]
 
 
 #: Rows and bytes of an Arrow batch, where the session has Spark's own values: a worker holds a batch of texts at a time.
@@ -24,15 +26,27 @@ def prepare(spark: SparkSession) -> None:
             spark.conf.set(name, value)
 
 
+@contextmanager
+def slim_rows(spark: SparkSession) -> Iterator[None]:
+    """Larger Arrow batches for what is planned and run within: rows of a few numbers each."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "20000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that driver and executors share."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """Write df as Parquet to the shared folder and read it again: a cut in lineage that outlives executors."""
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

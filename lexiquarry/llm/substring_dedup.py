@@ -1,20 +1,25 @@
-"""Removal of long repeated byte strings with a logarithmic family of suffix indexes.
-
-Every string of `length` bytes that also starts elsewhere is removed. Indexing all suffixes would take many times the
-text, so the suffix arrays are sparse: a suffix is indexed where the hash of its first `GRAM` bytes is the least of
-all grams of some window of `length` bytes. The choice depends on the window's bytes alone, so two equal windows hold
-the same anchor at the same place, and comparing suffixes at anchors finds every repeated window. Suffixes stand in the
-order of the hash of their first GRAM bytes; equality of such prefixes is all that the scans below ask for.
-
-Batches arrive one after the other. Each gets the directory of its suffixes, sorted by prefix, and is merge-scanned
-against every level of the family for prefixes that both have; levels made of equally many batches merge in the same
-scan until no two are of one size, so that n batches stand in at most log n + 1 levels and a prefix is rewritten log n
-times. Directories hold a prefix once, however often it occurs.
-
-Suffixes with repeated prefixes are then settled exactly. Each window belongs to the one anchor with its least gram;
-an anchor's environment are the bytes of its windows. If another anchor has the same environment, all of it is removed.
-Otherwise the environments of a prefix are compared: byte by byte in groups of up to `GROUP` in one task, in larger ones
-by the hashes of their windows, which are dealt out and counted like any other rows.
+"""Removal of long repeated byte strings with a logarithmic family of suffix arrays.
+
+Every string of `length` bytes that also starts elsewhere is removed. Suffixes of all places would take many times the
+text, so the suffix arrays are sparse: a suffix is indexed where the hash of its first `GRAM` bytes is the least of all
+grams of some window of `length` bytes. The choice depends on the window's bytes alone, so two equal windows hold the
+same anchor at the same place, and comparing suffixes at anchors finds every repeated window. A suffix array lists the
+places of a batch's suffixes in byte order; it carries the first GRAM bytes of each, which is what is sorted by (suffixes
+that agree in them stand by place), so it can be merged without the texts.
+
+Batches arrive one after the other. Each gets its suffix array and is merge-scanned against every level of the family:
+in the common order, suffixes next to each other that agree in their first GRAM bytes match, and are handed on with
+their places. Levels made of equally many batches are merged in the same scan until no two are of one size, so that n
+batches stand in at most log n + 1 levels and a suffix is rewritten log n times. Arrays are range-partitioned by bytes and
+place, so a common string is spread over partitions; the first and last suffix of a partition count as matching, which
+costs a look but no result.
+
+Matching suffixes are then extended to all windows of `length` bytes. Each window belongs to the one anchor with its
+least gram; an anchor's environment are the bytes of its windows. If another anchor has the same environment (by 128 bits
+of hash), all of it is removed. Otherwise the environments of a gram are compared byte by byte. More than `GROUP` of them
+never meet as such: they are dealt by blocks of windows. All windows of a block have a centre in common, so environments
+that share a window share a centre, and only those with the same centre are compared, in one task up to `CENTRE` of
+them; more are dealt by narrower blocks, at last by single windows.
 
 Documents that are copies of each other are removed entirely (from `length` bytes on) and indexed once, so groups of
 copies do not reach the index.
@@ -27,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,11 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lexiquarry.llm.common import drop, small, stage
+from lexiquarry.llm.common import drop, slim_rows, small, stage
 
 LENGTH, GRAM, BATCHES = 200, 32, 4
-#: Distinct environments of a prefix that are compared in one task: 6 MB of their bytes at most.
-GROUP = 16_384
+#: Distinct environments of a gram that are compared at once (24 KB), and those with a common centre (3.7 MB).
+GROUP, CENTRE = 64, 16_384
+#: Distances from window to anchor in a block, one after the other where a centre is too common.
+WIDTHS = (25, 5, 1)
 #: Windows looked at in one go.
 CHUNK = 1 << 20
 
@@ -107,21 +115,35 @@ def common_windows(envs: list[tuple[bytes, int]], length: int = LENGTH) -> list[
         left = _common(np.frombuffer(x, np.uint8)[:p][::-1], np.frombuffer(y, np.uint8)[:q][::-1])
         run = [(length - right, left)] if right + left >= length else []
         return [[(max(0, a), b) for a, b in run]] * 2
-    found = [list(windows(x, p, length)) for x, p in envs]
-    owner = np.repeat(np.arange(len(envs)), [len(f) for f in found])
-    d, hashes = (np.array(x, np.int64) for x in zip(*(w for f in found for w in f), strict=True))
-    _, same, count = np.unique(hashes, return_inverse=True, return_counts=True)
-    hit = count[same] > 1
-    order = np.lexsort((d[hit], owner[hit]))
-    at = np.searchsorted(owner[hit][order], np.arange(len(envs) + 1))
-    ds = d[hit][order].tolist()
-    return [runs(ds[a:b]) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
-
-
-def windows(env: bytes, at: int, length: int = LENGTH) -> Iterator[tuple[int, int]]:
-    """Distance to the anchor and hash of each window of an environment."""
-    for i in range(len(env) - length + 1):
-        yield at - i, xxhash.xxh3_64_intdigest(env[i : i + length], seed=at - i) - 2**63
+    found: list[list[int]] = [[] for _ in envs]
+    reach = [(max(0, p + length - len(x)), p) for x, p in envs]
+    for near in range(0, max(p for _, p in envs) + 1, WIDTHS[0]):
+        far = near + WIDTHS[0] - 1
+        by_centre: dict[bytes, list[int]] = {}
+        for i, (x, p) in enumerate(envs):
+            if reach[i][0] <= far and near <= reach[i][1]:
+                by_centre.setdefault(x[p - near : p + length - far], []).append(i)
+        for members in by_centre.values():
+            for d in range(near, far + 1) if len(members) > 1 else ():
+                seen: dict[bytes, int] = {}
+                for i in members:
+                    if reach[i][0] <= d <= reach[i][1]:
+                        x, p = envs[i]
+                        first = seen.setdefault(x[p - d : p - d + length], i)
+                        if first != i:
+                            found[i].append(d)
+                            if not found[first] or found[first][-1] != d:
+                                found[first].append(d)
+    return [runs(f) for f in found]
+
+
+def blocks(env: bytes, at: int, width: int, length: int = LENGTH) -> Iterator[tuple[int, bytes, int, bytes]]:
+    """For each block of distances with windows of env: its number, centre, and the windows' bytes with the anchor's place."""
+    least = max(0, at + length - len(env))
+    for k in range(least // width, at // width + 1):
+        near, far = k * width, k * width + width - 1
+        a, b = min(far, at), max(near, least)
+        yield k, env[at - near : at + length - far], a, env[at - a : at + length - b]
 
 
 def runs(values: list[int]) -> list[tuple[int, int]]:
@@ -152,58 +174,106 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_SUFFIX = ["key", "at", "back", "span", "prefix", "env"]
+_SUFFIX = "gram binary, key long, at int, back int, span int, env long"
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, at, back, span, prefix, env) of each indexed suffix: its windows begin from at - back to at - back + span."""
-    types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+    """The indexed suffixes of each text: its windows begin from at - back to at - back + span."""
+    for batch in batches:
+        grams, keys, found, envs = [], [], [], []
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            data = text.encode()
+            at, first, last = anchors(data)
+            if not len(at):
+                continue
+            grams.append(np.lib.stride_tricks.sliding_window_view(np.frombuffer(data, np.uint8), GRAM)[at])
+            keys.append(np.full(len(at), key))
+            found.append(np.stack([at, at - first, last - first]).astype(np.int32))
+            envs += [_xxh(data[a : b + LENGTH], p) for a, b, p in zip(first.tolist(), last.tolist(), found[-1][1].tolist(), strict=True)]
+        if not keys:
+            continue
+        n = len(envs)
+        gram = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(np.arange(0, GRAM * (n + 1), GRAM, dtype=np.int32)), pa.py_buffer(np.concatenate(grams).tobytes())])
+        at, back, span = np.concatenate(found, axis=1)
+        env = pa.array(np.array(envs, np.uint64).view(np.int64))
+        yield pa.RecordBatch.from_arrays([gram, pa.array(np.concatenate(keys), pa.int64()), pa.array(at), pa.array(back), pa.array(span), env], ["gram", "key", "at", "back", "span", "env"])
+
+
+_xxh = xxhash.xxh3_64_intdigest
 
-    def out(rows: tuple[list, ...]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(rows, types, strict=True)], _SUFFIX)
 
-    rows: tuple[list, ...] = tuple([] for _ in types)
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted suffixes with hit: told before, or next to one with the same gram, or at an end of the partition."""
+    held: tuple[pa.RecordBatch, np.ndarray, bytes] | None = None
+
+    def out() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*held[0].columns, pa.array(held[1])], [*held[0].schema.names, "hit"])
+
     for batch in batches:
-        for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            data = (text or "").encode()
-            found = [x.tolist() for x in anchors(data)]
-            for at, first, last in zip(*found, strict=True):
-                rows[0].append(key)
-                rows[1].append(at)
-                rows[2].append(at - first)
-                rows[3].append(last - first)
-                rows[4].append(xxhash.xxh3_64_intdigest(data[at : at + GRAM]) - 2**63)
-                rows[5].append(xxhash.xxh3_64_intdigest(data[first : last + LENGTH], seed=at - first) - 2**63)
-            if len(rows[0]) > 100_000:
-                yield out(rows)
-                rows = tuple([] for _ in types)
-    yield out(rows)
+        if not batch.num_rows:
+            continue
+        column = batch.column(0)
+        start = np.frombuffer(column.buffers()[1], np.int32, 1, 4 * column.offset)[0]
+        gram = np.frombuffer(column.buffers()[2], np.uint64, len(column) * GRAM // 8, start).reshape(len(column), -1)
+        hit = batch.column(6).to_numpy(zero_copy_only=False).copy()
+        same = (gram[1:] == gram[:-1]).all(axis=1)
+        hit[1:] |= same
+        hit[:-1] |= same
+        if held is None:
+            hit[0] = True
+        else:
+            again = held[2] == gram[0].tobytes()
+            held[1][-1] |= again
+            hit[0] |= again
+            yield out()
+        held = batch, hit, gram[-1].tobytes()
+    if held is not None:
+        held[1][-1] = True
+        yield out()
 
 
 class Family:
-    """Levels of suffix directories (prefix, n), with the number of batches in each."""
+    """Levels of sorted suffixes, with the number of batches in each; they are files, and further batches may come."""
 
     def __init__(self) -> None:
         self.levels: list[tuple[int, DataFrame]] = []
 
-    def add(self, suffixes: DataFrame) -> DataFrame:
-        """Index a batch; gives the prefixes that it repeats, in itself or in a level."""
-        new = stage(suffixes.groupBy("prefix").agg(F.count(F.lit(1)).alias("n")).sortWithinPartitions("prefix"), "directory")
-        scanned = [level for size, level in self.levels]
-        size = 1
-        while self.levels and self.levels[-1][0] == size:  # merging scans, too: a prefix of both adds up to 2 or more
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Index a batch of suffixes; gives those, of the batch and of the family, that match since it came.
+
+        A suffix of a level that is only scanned may be given again later.
+        """
+        new = self._sorted(batch.withColumn("told", F.lit(False)), "array")
+        found = [self._fresh(new)]
+        size, scanned = 1, list(self.levels)
+        while self.levels and self.levels[-1][0] == size:
             _, old = self.levels.pop()
-            scanned.remove(old)
-            both = old.unionByName(new).groupBy("prefix").agg(F.sum("n").alias("n")).sortWithinPartitions("prefix")
-            both = stage(both, "level")
+            scanned.pop()
+            both = self._sorted(self._told(old).unionByName(self._told(new)), "level")
+            found.append(self._fresh(both))
             drop(old, new)
             new, size = both, 2 * size
-        repeated = new.filter("n > 1").select("prefix")
-        for level in scanned:
-            repeated = repeated.unionByName(new.select("prefix").join(level.select("prefix"), "prefix"))
-        repeated = stage(repeated, "repeated")
+        for _, level in scanned:  # of other sizes: scanned, but not rewritten
+            both = self._sorted(self._told(level).unionByName(self._told(new)), "scan")
+            found.append(self._fresh(both))
+            drop(both)
         self.levels.append((size, new))
-        return repeated
+        return reduce(DataFrame.unionByName, found)
+
+    @staticmethod
+    def _sorted(suffixes: DataFrame, name: str) -> DataFrame:
+        keys = ["gram", "key", "at"]
+        ordered = suffixes.select("gram", "key", "at", "back", "span", "env", "told").repartitionByRange(*keys).sortWithinPartitions(*keys)
+        with slim_rows(suffixes.sparkSession):
+            return stage(ordered.mapInArrow(_scan, f"{_SUFFIX}, told boolean, hit boolean"), name, "zstd")
+
+    @staticmethod
+    def _told(level: DataFrame) -> DataFrame:
+        return level.drop("told").withColumnRenamed("hit", "told")
+
+    @staticmethod
+    def _fresh(scanned: DataFrame) -> DataFrame:
+        return stage(scanned.filter("hit and not told").drop("hit", "told"), "matches")
 
 
 def _environments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,14 +311,35 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["prefix", "env", "near", "far"])
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """(prefix, block, centre, env, p, bytes) of environments (prefix, env, p, bytes)."""
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
     for batch in batches:
-        out: tuple[list, list, list, list] = ([], [], [], [])
-        for prefix, env, p, raw in zip(*(c.to_pylist() for c in batch.columns[:4]), strict=True):
-            d, hashes = zip(*windows(raw, p), strict=True)
-            for to, v in zip(out, ([prefix] * len(d), [env] * len(d), d, hashes), strict=True):
-                to.extend(v)
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, (pa.int64(), pa.int64(), pa.int32(), pa.int64()), strict=True)], ["prefix", "env", "d", "window"])
+        rows = []
+        for prefix, env, p, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            rows += [(prefix, k, _xxh(centre) - 2**63, env, a, part) for k, centre, a, part in blocks(raw, p, width)]
+        columns = zip(*rows, strict=True) if rows else [()] * len(types)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["prefix", "block", "centre", "env", "p", "bytes"])
+
+
+def _crowded(envs: DataFrame) -> DataFrame:
+    """(prefix, env, near, far) of environments (prefix, env, p, bytes) of grams that have many: by blocks of windows."""
+    out: list[DataFrame] = []
+    for width in WIDTHS:
+        cut = envs.mapInArrow(lambda batches, width=width: _blocks(batches, width), "prefix long, block long, centre long, env long, p long, bytes binary")
+        cut = stage(cut, "blocks")
+        key = ["prefix", "block", "centre"]
+        sizes = stage(cut.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "sizes")
+        if width == 1:  # a centre is a window
+            hits = cut.join(sizes, key, "left_semi")
+            return reduce(DataFrame.unionByName, [*out, hits.select("prefix", "env", F.col("block").alias("near"), F.col("block").alias("far"))])
+        few = cut.join(sizes.filter(F.col("n") <= CENTRE).drop("n"), key).groupBy(*key).agg(F.collect_list(F.struct("env", "p", "bytes")).alias("members"))
+        out.append(few.select("prefix", "members").mapInArrow(_compare, "prefix long, env long, near long, far long"))
+        many = sizes.filter(F.col("n") > CENTRE).drop("n")
+        if many.isEmpty():
+            return reduce(DataFrame.unionByName, out)
+        envs = cut.join(many, key, "left_semi").select("prefix", "env", "p", "bytes")
+    raise AssertionError
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,16 +373,15 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     copies = stage(copies, "not-indexed")
     firsts = texts.filter(F.octet_length("text") >= LENGTH).join(small(copies), "key", "left_anti")
 
-    suffixes = firsts.mapInArrow(_suffixes, "key long, at int, back int, span int, prefix long, env long")
-    suffixes = stage(suffixes.withColumn("batch", F.pmod(F.xxhash64("key"), F.lit(batches)).cast("byte")), "suffixes")
-    family, repeated = Family(), None
+    suffixes = firsts.mapInArrow(_suffixes, _SUFFIX).withColumn("batch", F.pmod(F.xxhash64("key"), F.lit(batches)).cast("byte"))
+    suffixes = stage(suffixes, "suffixes", "zstd")
+    family, found = Family(), []
     for k in range(batches):
-        found = family.add(suffixes.filter(F.col("batch") == k))
-        repeated = found if repeated is None else repeated.unionByName(found)
-    for _, level in family.levels:
-        drop(level)
-    matched = stage(suffixes.drop("batch").join(repeated, "prefix", "left_semi"), "matched")
-    drop(suffixes)
+        found.append(family.add(suffixes.filter(F.col("batch") == k).drop("batch")))
+    drop(suffixes, *(level for _, level in family.levels))
+    # From here on a gram goes by its hash, which with that of the environment makes 128 bits.
+    matched = reduce(DataFrame.unionByName, found).dropDuplicates(["key", "at"])
+    matched = stage(matched.select("key", "at", "back", "span", F.xxhash64("gram").alias("prefix"), "env"), "matched")
 
     one = F.min(F.struct("key", "at", "back", "span")).alias("one")
     by_env = stage(matched.groupBy("prefix", "env").agg(F.count(F.lit(1)).alias("n"), one), "environments")
@@ -305,11 +395,10 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     envs = texts.join(wanted, "key").select("text", "wanted")
     envs = stage(envs.mapInArrow(_environments, "prefix long, env long, p long, bytes binary, many boolean"), "bytes")
     some = envs.filter("not many").groupBy("prefix").agg(F.collect_list(F.struct("env", "p", "bytes")).alias("members"))
-    partial = some.mapInArrow(_compare, "prefix long, env long, near long, far long")
-    each = envs.filter("many").mapInArrow(_windows, "prefix long, env long, d int, window long")
-    twice = stage(each.groupBy("prefix", "window").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "windows")
-    d = F.col("d").cast("long")
-    partial = partial.unionByName(each.join(twice, ["prefix", "window"], "left_semi").select("prefix", "env", d.alias("near"), d.alias("far")))
+    partial = some.select("prefix", "members").mapInArrow(_compare, "prefix long, env long, near long, far long")
+    crowded = envs.filter("many").select("prefix", "env", "p", "bytes")
+    if not crowded.isEmpty():
+        partial = partial.unionByName(_crowded(crowded))
     partial = partial.join(by_env.filter("n = 1"), ["prefix", "env"])
     at = F.col("one.at").cast("long")
     partial = partial.select(F.col("one.key").alias("key"), (at - F.col("far")).alias("a"), (at - F.col("near") + LENGTH).alias("b"))

@@ -12,6 +12,7 @@ import duckdb
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -73,10 +74,11 @@ def test_op2(spark, documents):
     assert sorted(map(tuple, queries.op2_substring_dedup(spark, SF).collect())) == want
 
 
-@pytest.mark.parametrize("group", [16_384, 3, 1])
-def test_op2_on_patterns(spark, monkeypatch, group):
-    """Short periods, overlaps, cuts at both ends; and with every comparison dealt out by window."""
+@pytest.mark.parametrize(("group", "centre"), [(64, 16_384), (2, 3), (1, 1)])
+def test_op2_on_patterns(spark, monkeypatch, group, centre):
+    """Short periods, overlaps, cuts at both ends; and with every comparison dealt out by blocks, at last by windows."""
     monkeypatch.setattr(substring_dedup, "GROUP", group)
+    monkeypatch.setattr(substring_dedup, "CENTRE", centre)
     rng = random.Random(group)
     base = ["".join(rng.choices("abcdefghij klmé", k=rng.randint(150, 900))) for _ in range(5)]
     texts = []
@@ -89,6 +91,30 @@ def test_op2_on_patterns(spark, monkeypatch, group):
     assert got == [(i, *x) for i, x in enumerate(removed(texts))]
 
 
+def test_a_family_of_suffix_arrays(spark):
+    """Levels double, stand in byte order, and each batch gives what matches since it came."""
+    rng = random.Random(8)
+    grams = [bytes([rng.randrange(3)]) * 31 + bytes([k]) for k in range(40)]
+    family, told, seen = substring_dedup.Family(), set(), collections.Counter()
+    for n in range(1, 8):
+        rows = [(rng.choice(grams), 1000 * n + k, k, 0, 0, 0) for k in range(8)]
+        before = {key for gram, key in seen}
+        found = {r.key for r in family.add(spark.createDataFrame(rows, substring_dedup._SUFFIX)).collect()}
+        told |= found
+        seen.update((r[0], r[1]) for r in rows)
+        count = collections.Counter(gram for gram, _ in seen)
+        want = {key for gram, key in seen if count[gram] > 1}
+        assert want <= told and found <= before | {r[1] for r in rows}
+        sizes = [size for size, _ in family.levels]
+        assert sum(sizes) == n and sizes == sorted(set(sizes), reverse=True) and all(x & (x - 1) == 0 for x in sizes)
+        for size, level in family.levels:
+            held = [(r.file, bytes(r.gram), r.key) for r in level.withColumn("file", F.regexp_extract(F.input_file_name(), r"part-(\d+)", 1)).collect()]
+            assert len(held) == 8 * size and len({x[2] for x in held}) == len(held)
+            for file in {x[0] for x in held}:  # byte order within files, and from file to file
+                assert [x[1:] for x in held if x[0] == file] == sorted(x[1:] for x in held if x[0] == file)
+            assert [x[1:] for x in sorted(held)] == sorted(x[1:] for x in held)
+
+
 def test_anchors_are_found_in_every_window_and_in_chunks_alike(monkeypatch):
     rng = random.Random(3)
     data = "".join(rng.choices("ab", k=5000)).encode()
