@@ -390,6 +390,7 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     whole = whole.select("key", first.alias("a"), (first + F.col("span") + LENGTH).alias("b"))
 
     mixed = by_env.groupBy("prefix").agg(F.count(F.lit(1)).alias("envs")).filter("envs > 1")
+    mixed = small(stage(mixed, "mixed"))
     wanted = by_env.join(mixed, "prefix").select(F.col("one.key").alias("key"), F.struct("one.at", "one.back", "one.span", "prefix", "env", (F.col("envs") > GROUP).alias("many")).alias("x"))
     wanted = stage(wanted.groupBy("key").agg(F.collect_list("x").alias("wanted")), "wanted")
     envs = texts.join(wanted, "key").select("text", "wanted")
