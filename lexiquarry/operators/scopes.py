@@ -10,12 +10,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexiquarry.operators.kernel import facts
+from lexiquarry.session import staged
 
 
 def identifier_facts(sources: DataFrame, text: str = "src") -> DataFrame:
-    """(source_file, method, seq, name, role, pos, scope_start, scope_end, depth)."""
+    """(source_file, method, seq, name, role, pos, scope_start, scope_end, depth), written once: plans read facts often."""
     rows = sources.select("source_file", F.explode(facts(F.col(text))).alias("f"))
-    return rows.select("source_file", "f.*")
+    return staged(rows.select("source_file", "f.*"), "facts")
 
 
 def numbered_methods(found: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.functions import literals, repair
+from lexiquarry.functions.register import register
 from lexiquarry.functions.tokens import count_tokens
 from lexiquarry.operators import kernel, scopes
 from lexiquarry.plans import corpus, training_pairs
@@ -136,19 +137,28 @@ def _w1v(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scopes.numbered_variables(found).select("source_file", "name", "new_name")
 
 
-@add("j4_innermost_scope", oracle("unnest([2, 4, 5, 6, 7, 3]) AS var, unnest([3, 1, 2, 3, 1, 2]) AS uses"))
+def _sql_edits(pattern: str) -> str:
+    """Places of the template's names, by the names that replace them: every occurrence of a word in one text or the other."""
+    return (
+        f"WITH p AS ({corpus.PARTS}), t AS (SELECT 'TestClass' || k || '.java' AS source_file, regexp_extract_all({_CLASS}, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+') AS a,"
+        f" regexp_extract_all({_CLASS_RENAMED}, '[A-Za-z0-9_]+|[^A-Za-z0-9_]+') AS b FROM p),"
+        " w AS (SELECT source_file, unnest(range(1, len(a) + 1)) AS i, a, b FROM t)"
+        " SELECT source_file, len(array_to_string(a[1 : i - 1], ''))::INTEGER AS pos, b[i] AS new_name FROM w"
+        f" WHERE regexp_matches(b[i], '{pattern}')"
+    )
+
+
+@add("j4_innermost_scope", _sql_edits("^var_") + " AND a[i - 2] <> 'int' AND NOT (a[i] = 'b' AND i < 14)")
 def _j4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scopes.identifier_facts(sources(spark, sf_dir, _CLASS))
-    uses = scopes.resolved_uses(found, scopes.numbered_variables(found))
-    return uses.groupBy("source_file", F.substring_index("new_name", "_", -1).cast("int").alias("var")).agg(F.count(F.lit(1)).alias("uses"))
+    return scopes.resolved_uses(found, scopes.numbered_variables(found)).select("source_file", "pos", "new_name")
 
 
-@add("g4_last_edit_wins", oracle("21 AS edits"))
+@add("g4_last_edit_wins", _sql_edits("^(var|func)_"))
 def _g4(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scopes.identifier_facts(sources(spark, sf_dir, _CLASS))
     variables = scopes.numbered_variables(found)
-    edits = scopes.edits(variables, scopes.resolved_uses(found, variables), scopes.numbered_methods(found))
-    return edits.groupBy("source_file").agg(F.count(F.lit(1)).alias("edits"))
+    return scopes.edits(variables, scopes.resolved_uses(found, variables), scopes.numbered_methods(found))
 
 
 # --- routing, guards, sinks
@@ -200,9 +210,45 @@ def _json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @add("f2_not_done", oracle("v", "v NOT IN (0, 3)"))
 def _not_done(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Through files: pairs in both datasets, of which only one is in the ledger yet."""
+    path = f"{shared_root(spark)}/pairs-{uuid.uuid4().hex}"
     new = sources(spark, sf_dir).select("source_file", "v")
-    ledger = new.filter("v = 0").select("source_file").unionByName(new.filter("v = 3").select("source_file")).distinct()
-    return new.join(ledger, "source_file", "left_anti")
+    ledger = sinks.Ledger(spark, path, sinks.blanked_sibling(path))
+    pairs = lambda v: new.filter(F.col("v") == v).select("source_file", F.lit("a").alias("prompt"), F.lit("b").alias("response"))
+    sinks.write_pairs(pairs(0), path)
+    ledger.done()
+    ledger.open()
+    sinks.write_pairs(pairs(3), sinks.blanked_sibling(path))
+    return new.join(ledger.done(), "source_file", "left_anti")
+
+
+@add("k1_written_pairs", oracle(f"{RENAMED} AS prompt, {REPAIRED} AS response", "v <> 5"))
+def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 through its files."""
+    path = f"{shared_root(spark)}/pairs-{uuid.uuid4().hex}"
+    sinks.write_pairs(_pairs(spark, sf_dir).clean, path)
+    return spark.read.schema(sinks.PAIRS).json(path)
+
+
+@add("k3_error_files", oracle(f"'generate_jsonl' AS stage, '{training_pairs.EMPTY}' AS error", "k % 3 = 0"))
+def _error_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 through its files."""
+    path = f"{shared_root(spark)}/errors-{uuid.uuid4().hex}"
+    sinks.write_errors(_empty(spark, sf_dir), path)
+    return spark.read.schema("stage string, source_file string, error string").json(path)
+
+
+@add("a17_k4_renamed_files", "SELECT n_name || '.java' AS source_file, 'class N' || n_nationkey || ' { int func_1(int var_1) { return var_1; } }' AS src FROM nation")
+def _renamed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _nation_dir(spark, sf_dir, "'class N' || n_nationkey || ' { int f(int ' || chr(0) || 'a) { return a; } }'")
+    training_pairs.obfuscate_files(spark, path, f"{path}-renamed")
+    return files.texts(files.java_files(spark, f"{path}-renamed"))[0]
+
+
+@add("x1_sql_functions", oracle(f"{RENAMED_BLANK} AS src, false AS broken"))
+def _sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register(spark)
+    return sources(spark, sf_dir, RECOVERED).selectExpr("source_file", "java_rename(src).renamed AS src", "java_has_errors(src) AS broken")
 
 
 @add("g1_counts", f"WITH p AS ({corpus.PARTS}) SELECT count(*) AS files, count(*) FILTER (v = 0) AS done FROM p")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexiquarry.session import table
+from lexiquarry.session import spread, table
 
 LF, CRLF, BS, Q, A = "chr(10)", "chr(13) || chr(10)", "chr(92)", "chr(34)", "chr(39)"
 METHOD = "'check' || k"
@@ -63,7 +63,7 @@ PARTS = "SELECT p_partkey AS k, p_name AS n, p_size AS z, p_partkey % 6 AS v FRO
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part")
+    part = spread(table(spark, sf_dir, "part"))
     return part.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("n"), F.col("p_size").alias("z"), F.expr("p_partkey % 6").alias("v"))
 
 

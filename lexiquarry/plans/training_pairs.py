@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.functions import literals, repair
 from lexiquarry.functions.tokens import count_tokens
 from lexiquarry.operators.kernel import has_errors, rename_or_recover
+from lexiquarry.session import staged
 from lexiquarry.sources import files, sinks
 
 EMPTY = "Obfuscated source is empty"
@@ -49,10 +51,6 @@ class Pairs:
     blanked: DataFrame
     errors: DataFrame
     dropped: DataFrame
-    renamed: DataFrame  # what they are all made of, cached
-
-    def unpersist(self) -> None:
-        self.renamed.unpersist()
 
 
 def checked(rows: DataFrame, stage: str) -> tuple[DataFrame, DataFrame]:
@@ -64,17 +62,19 @@ def checked(rows: DataFrame, stage: str) -> tuple[DataFrame, DataFrame]:
 
 
 def build_pairs(sources: DataFrame, blanked: bool = True) -> Pairs:
-    """pairs of (source_file, src). Renaming runs once; its rows are cached until unpersist()."""
+    """pairs of (source_file, src). Renaming runs once; its rows are written by route and read again."""
     repaired = sources.select("source_file", repair.repair(F.col("src")).alias("response"))
-    done = obfuscate(repaired, "response").persist()
+    done = staged(obfuscate(repaired, "response"), "renamed", "needed_fallback")
     clean, e1 = checked(done.filter("not needed_fallback").select("source_file", F.col("obfuscated").alias("prompt"), "response"), "generate_jsonl")
     fallback = done.filter("needed_fallback")
-    both = fallback.select("source_file", blank_source(F.col("obfuscated")).alias("prompt"), blank_source(F.col("response")).alias("response"))
+    # What a literal holds does not matter to the parser, so a response that needed the fallback is broken when blanked, too.
+    recovered = literals.blank_for_good(repair.collapse_backslashes(F.col("response")))
+    both = fallback.select("source_file", blank_source(F.col("obfuscated")).alias("prompt"), recovered.alias("response"))
     masked, e2 = checked(both, "generate_jsonl_blanked")
     if not blanked:
         masked, e2 = masked.filter(F.lit(False)), e2.filter(F.lit(False))
     dropped = fallback.filter(F.lit(not blanked)).select("source_file")
-    return Pairs(clean, masked, e1.unionByName(e2), dropped, done)
+    return Pairs(clean, masked, e1.unionByName(e2), dropped)
 
 
 def pairs_of_files(spark: SparkSession, originals: str, renamed: str) -> tuple[DataFrame, DataFrame]:
@@ -86,32 +86,52 @@ def pairs_of_files(spark: SparkSession, originals: str, renamed: str) -> tuple[D
     return good, bad.unionByName(unread[0].unionByName(unread[1]).distinct())
 
 
-def run(spark: SparkSession, source_dir: str, output: str, jsonl_output: str | None = None, blanked: bool = False) -> dict[str, int]:
+def run(spark: SparkSession, source_dir: str, output: str, jsonl_output: str | None = None, blanked: bool = False, tell: Callable[[str, int], None] | None = None) -> dict[str, int]:
     """Pairs of a directory of .java files as JSON datasets; files already in the output are not read again.
 
-    Files whose pairs were dropped are tried again by the next run.
+    Files whose pairs were dropped are tried again by the next run. Gives the numbers of files found and already done,
+    and of rows written by kind; tell gets each as soon as it is known (K6).
     """
     found = files.java_files(spark, source_dir)
-    target = jsonl_output or output
-    return append(spark, found, target, blanked)
+    return append(spark, found, jsonl_output or output, blanked, tell)
 
 
-def append(spark: SparkSession, found: DataFrame, target: str, blanked: bool) -> dict[str, int]:
+def append(spark: SparkSession, found: DataFrame, target: str, blanked: bool, tell: Callable[[str, int], None] | None = None) -> dict[str, int]:
     """run() for files already listed."""
+    out: dict[str, int] = {}
+
+    def told(name: str, n: int) -> None:
+        out[name] = n
+        if tell:
+            tell(name, n)
+
     sibling = sinks.blanked_sibling(target)
-    new = found.join(sinks.done(spark, target, sibling), "source_file", "left_anti")
-    good, bad = files.texts(new)
+    ledger = sinks.Ledger(spark, target, sibling)
+    names = found.select("source_file").withColumn("n", F.lit(1)).join(ledger.done().withColumn("old", F.lit(1)), "source_file", "left")
+    counts = names.agg(F.count("n").alias("files"), F.count("old").alias("already")).first()
+    told("files", counts["files"])
+    told("already", counts["already"])
+    good, bad = files.texts(found.join(ledger.done(), "source_file", "left_anti"))
     pairs = build_pairs(good, blanked)
-    out = {}
+    ledger.open()
     for name, rows, write, path in (
         ("clean", pairs.clean, sinks.write_pairs, target),
         ("blanked", pairs.blanked, sinks.write_pairs, sibling),
         ("errors", bad.unionByName(pairs.errors), sinks.write_errors, f"{target.rstrip('/')}_errors"),
     ):
-        rows = rows.persist()
-        out[name] = rows.count()
-        if out[name]:
-            write(rows, path)
-        rows.unpersist()
-    pairs.unpersist()
+        seen = Observation(name)
+        if rows.isEmpty():
+            told(name, 0)
+        else:
+            write(rows.observe(seen, F.count(F.lit(1)).alias("n")), path)
+            told(name, seen.get["n"])
+    ledger.close(pairs.clean.select("source_file").unionByName(pairs.blanked.select("source_file")))
     return out
+
+
+def obfuscate_files(spark: SparkSession, source_dir: str, output: str) -> DataFrame:
+    """Each .java file of a directory, repaired and renamed, as a file of the same name; gives error rows."""
+    good, bad = files.texts(files.java_files(spark, source_dir))
+    renamed = obfuscate(good.select("source_file", repair.repair(F.col("src")).alias("src")))
+    sinks.export_files(renamed.select("source_file", F.col("obfuscated").alias("text")), output)
+    return bad

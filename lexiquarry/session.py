@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,15 +30,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_root(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where that is unset (tests, one process) a local folder is made.
+    Where that is unset a local folder is made if all runs in one process; a cluster needs one that is set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexiquarry-"))
         root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
+def staged(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+    """Write df as Parquet to the shared folder and read it again, so that it is computed once."""
+    path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df over all cores, if its files make fewer splits than that: for what costs far more than to move its rows."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.isStreaming or df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def local_session(app: str, cpus: int | str = 8, memory: str = "8g", **conf: str) -> SparkSession:
     """A local session with the settings the tests and the bench use."""
     return (

@@ -35,7 +35,7 @@ def sources(tmp_path):
 
 def test_run_and_rerun(spark, sources, tmp_path):
     out = str(tmp_path / "out" / "pairs")
-    assert training_pairs.run(spark, sources, out, blanked=True) == {"clean": 1, "blanked": 1, "errors": 2}
+    assert training_pairs.run(spark, sources, out, blanked=True) == {"files": 4, "already": 0, "clean": 1, "blanked": 1, "errors": 2}
     row = spark.read.schema(sinks.PAIRS).json(out).first()
     assert (row.source_file, row.prompt) == ("A.java", 'class A {\n@Test void func_1() { String var_1 = "x é"; use(var_1); }\n}')
     assert row.response == GOOD.replace("\r\n", "\n")
@@ -43,11 +43,40 @@ def test_run_and_rerun(spark, sources, tmp_path):
     assert (row.source_file, row.prompt) == ("B.JAVA", 'class B {\n@Test void func_1() { String var_1 = "_"; use(var_1); }\n}')
     errors = {(r.source_file, r.stage) for r in spark.read.json(out + "_errors").collect()}
     assert errors == {("Bad.java", "read"), ("Empty.java", "generate_jsonl")}
-    assert training_pairs.run(spark, sources, out, blanked=True)["clean"] == 0
+    told = []
+    again = training_pairs.run(spark, sources, out, blanked=True, tell=lambda name, n: told.append((name, n)))
+    assert again == {"files": 4, "already": 2, "clean": 0, "blanked": 0, "errors": 2} and told == list(again.items())
     line = next(x for f in os.listdir(out) if f.endswith(".json") for x in open(f"{out}/{f}"))
     assert list(json.loads(line)) == ["prompt", "response", "source_file"]
 
 
+def test_a_run_that_broke_off_is_taken_up(spark, sources, tmp_path):
+    """Pairs written, ledger not: the pairs themselves tell what is done."""
+    out = str(tmp_path / "pairs")
+    sinks.write_pairs(spark.createDataFrame([("A.java", "x", "y")], "source_file string, prompt string, response string"), out)
+    sinks.Ledger(spark, out).open()
+    assert training_pairs.run(spark, sources, out)["already"] == 1
+    assert [r.source_file for r in sinks.Ledger(spark, out).done().collect()] == ["A.java"]
+    assert not os.path.exists(out + "_done_open")
+
+
+def test_renamed_files(spark, sources, tmp_path):
+    bad = training_pairs.obfuscate_files(spark, sources, str(tmp_path / "renamed"))
+    assert [r.source_file for r in bad.collect()] == ["Bad.java"]
+    assert sorted(x for x in os.listdir(tmp_path / "renamed") if not x.endswith(".crc")) == ["A.java", "B.JAVA", "Empty.java"]
+    assert (tmp_path / "renamed" / "A.java").read_text() == 'class A {\n@Test void func_1() { String var_1 = "x é"; use(var_1); }\n}'
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from lexiquarry.session import shared_root
+
+    bare = SimpleNamespace(conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="spark://a:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(bare)
+
+
 def test_without_blanked_sources_are_dropped_and_tried_again(spark, sources, tmp_path):
     out = str(tmp_path / "pairs")
     assert training_pairs.run(spark, sources, str(tmp_path / "x"), out)["blanked"] == 0
@@ -142,6 +171,11 @@ def test_command_line(spark, sources, tmp_path, capsys):
     assert cli.main(["pairs", "-i", str(tmp_path / "none"), "-o", "x"]) == 1
     assert cli.main(["pairs", "-i", sources, "-o", str(tmp_path / "cli"), "-b"]) == 0
     assert "clean: 1" in capsys.readouterr().out
+    root = str(tmp_path / "{split}")
+    assert cli.main(["splits", "-i", root, "-o", root + "-out", "in", "in"]) == 0
+    said = capsys.readouterr()
+    assert "already: 0" in said.out and "already: 1" in said.out and "already 1" in said.err
+    assert cli.main(["renamed", "-i", sources, "-o", str(tmp_path / "r")]) == 0 and "Bad.java" in capsys.readouterr().err
     (tmp_path / "l.txt").write_text("int a;\nint b;\n")
     assert cli.main(["classes", "-f", str(tmp_path / "l.txt"), "-d", str(tmp_path / "c"), "-s", "l"]) == 0
     assert sorted(x for x in os.listdir(tmp_path / "c") if x.startswith("source_file")) == ["source_file=TestClass0.java", "source_file=TestClass1.java"]
