@@ -10,7 +10,8 @@ densification), so that sparse sets agree bin by bin as often as full ones. Band
 the threshold of 0.75 a pair shares no bucket of 32 with probability 5e-6.
 
 In each bucket a star of candidate edges leads from a hub to the other members. Edges are confirmed on full sets, and
-the links become components. Members of buckets that still hold more than one component are then compared by their
+the links become components. In `ROUNDS` further rounds a bucket that holds more than one gets a new hub from its most
+frequent component, for the members outside it; that joins what the first hub happened not to resemble. Members of buckets that still hold more than one component are then compared by their
 rarest shingles: with all sets in one order, from the rarest shingle to the commonest among these members, two linked
 sets share a shingle within the first seventh of the smaller set and the first quarter of the larger, and what follows
 their first common shingle must suffice for a link. Members with a common core and private rests have only private
@@ -36,6 +37,8 @@ from lexiquarry.llm.common import drop, fresh, keyed, small, stage
 from lexiquarry.llm.components import components, merge_components
 
 SHINGLE, BINS, ROWS = 5, 128, 4
+#: Stars after the first.
+ROUNDS = 2
 
 _rng = np.random.default_rng(20_11)
 _WEIGHTS = _rng.integers(1, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -150,6 +153,15 @@ def _with_components(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(labels.select(F.col("u").alias("seq"), F.col("v").alias("comp")), "seq", "left").withColumn("comp", F.coalesce("comp", "seq"))
 
 
+def _star(left: DataFrame, k: int) -> DataFrame:
+    """(a, b): for each bucket of more than one component, a hub of the most frequent one with the members outside."""
+    inside = left.join(small(stage(_mixed(left, "bucket"), "mixed")), "bucket")
+    hub = F.min_by(F.struct("seq", "n"), F.xxhash64("seq", "bucket", F.lit(k))).alias("hub")
+    hubs = small(stage(inside.filter("comp = major").groupBy("bucket").agg(hub), "hubs"))
+    met = inside.filter("comp != major").join(hubs, "bucket").filter("4 * least(n, hub.n) >= 3 * greatest(n, hub.n)")
+    return met.select(F.least("seq", "hub.seq").alias("a"), F.greatest("seq", "hub.seq").alias("b")).distinct()
+
+
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for seq, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -220,7 +232,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = components(links)
     # The hub of a bucket has met all its members.
     left = shared.filter(F.col("seq") != F.col("h_seq")).filter("size > 2").select("bucket", "seq", "n")
-    left = stage(_with_components(left, labels), "left")
+    left = stage(left, "left")
+    named = stage(_with_components(left, labels), "named")
+    for k in range(ROUNDS):
+        links = stage(verify(stage(_star(named, k), "star"), sets).filter("linked").select("a", "b"), "links")
+        if links.isEmpty():
+            break
+        labels = merge_components(labels, links)
+        named = stage(_with_components(left, labels), "named")
+    left = named
     members = stage(left.join(_mixed(left, "bucket"), "bucket", "left_semi").select("seq", "n", "comp").distinct(), "members")
     links = stage(verify(stage(_rare_pairs(members, sets), "pairs"), sets).filter("linked").select("a", "b"), "links")
     labels = merge_components(labels, links)
