@@ -2,9 +2,9 @@
 
 Texts are normalised to their words (ASCII letters in lower case, digits and all non-ASCII characters; the rest
 separates). A benchmark item's windows are its runs of `window` consecutive words, or the whole item when it has fewer.
-All windows of all items stand in one automaton whose symbols are words, numbered by a dictionary of the benchmark's
-words, and every text is scanned once; matches are word numbers, which map back to character offsets of the original
-text. An automaton has about ten nodes of 40 bytes for each word of the benchmark.
+All windows of all items stand in one automaton whose symbols are words: a dictionary of the benchmark's words gives
+each a character. Every text is scanned once; matches are word numbers, which map back to character offsets of the
+original text. An automaton has about ten nodes of 40 bytes for each word of the benchmark.
 
 The benchmark's size is looked at first. Up to `block_bytes` of text all of it is broadcast, and documents are scanned
 in one pass without an exchange. A larger benchmark is dealt by a hash of its items into blocks of about that size,
@@ -56,7 +56,7 @@ Items = tuple[tuple[str, str | None], ...]
 
 @lru_cache(maxsize=1)
 def automaton(items: Items, window: int = WINDOW):
-    """The numbers of the benchmark's words, and one automaton over the windows of items; None without any."""
+    """A character for each of the benchmark's words, and one automaton over the windows of items; None without any."""
     import ahocorasick
 
     found: dict[tuple[bytes, ...], set[str]] = {}
@@ -65,12 +65,21 @@ def automaton(items: Items, window: int = WINDOW):
             found.setdefault(x, set()).add(item)
     if not found:
         return None
-    numbers: dict[bytes, int] = {}  # from 1 on; 0 is every other word
-    machine = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    symbols: dict[bytes, str] = {}
+    machine = ahocorasick.Automaton()
     for x, owners in found.items():
-        machine.add_word(tuple(numbers.setdefault(w, len(numbers) + 1) for w in x), (len(x), tuple(sorted(owners))))
+        machine.add_word("".join([symbols.setdefault(w, _symbol(len(symbols))) for w in x]), (len(x), tuple(sorted(owners))))
     machine.make_automaton()
-    return numbers, machine
+    return symbols, machine
+
+
+#: Every word that the benchmark does not have.
+_OTHER = "\0"
+
+
+def _symbol(k: int) -> str:
+    """A character for the k-th word; surrogates are no characters."""
+    return chr(k + 1 if k + 1 < 0xD800 else k + 1 + 0x800)
 
 
 Runs = list[tuple[int, int]]
@@ -94,8 +103,8 @@ def scan(built, text: str | None) -> tuple[int, Runs, set[str]]:
     items: set[str] = set()
     if built is None or not w:
         return len(w), runs, items
-    numbers, machine = built
-    for last, (n, owners) in machine.iter(tuple(map(numbers.get, w, repeat(0)))):
+    symbols, machine = built
+    for last, (n, owners) in machine.iter("".join(map(symbols.get, w, repeat(_OTHER)))):
         items.update(owners)
         a, b = last + 1 - n, last + 1
         while runs and runs[-1][1] >= a:  # ends never fall
