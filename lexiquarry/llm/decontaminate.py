@@ -2,9 +2,10 @@
 
 Texts are normalised to their words (ASCII letters in lower case, digits and all non-ASCII characters; the rest
 separates). A benchmark item's windows are its runs of `window` consecutive words, or the whole item when it has fewer.
-All windows of all items stand in one automaton whose symbols are words: a dictionary of the benchmark's words gives
-each a character. Every text is scanned once; matches are word numbers, which map back to character offsets of the
-original text. An automaton has about ten nodes of 40 bytes for each word of the benchmark.
+All windows of all items stand in one automaton. It reads words by short names, two or three characters for a dictionary
+of all the benchmark's words: the first character is of an alphabet of its own, so no match begins within a word, and no
+node has many ways on. Every text is scanned once; matches are word numbers, which map back to character offsets of the
+original text. An automaton has up to thirty nodes of 40 bytes for each word of the benchmark.
 
 The benchmark's size is looked at first. Up to `block_bytes` of text all of it is broadcast, and documents are scanned
 in one pass without an exchange. A larger benchmark is dealt by a hash of its items into blocks of about that size,
@@ -21,7 +22,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Iterator
 from functools import lru_cache, reduce
-from itertools import chain, repeat
+from itertools import accumulate, chain, repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,8 +32,8 @@ from lexiquarry.llm.common import stage
 
 WINDOW = 10
 
-#: Item text in one automaton: it takes some 60 times that in a worker.
-BLOCK_BYTES = 2_000_000
+#: Item text in one automaton: it takes some 200 times that in a worker.
+BLOCK_BYTES = 1_000_000
 
 #: What is no word character, as bytes: ASCII other than letters and digits. Letters A-Z become a-z.
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if chr(b).isalnum() and b < 128 or b >= 128 else 32 for b in range(256))
@@ -56,7 +57,7 @@ Items = tuple[tuple[str, str | None], ...]
 
 @lru_cache(maxsize=1)
 def automaton(items: Items, window: int = WINDOW):
-    """A character for each of the benchmark's words, and one automaton over the windows of items; None without any."""
+    """Short names of the benchmark's words, and one automaton over the windows of items; None without any."""
     import ahocorasick
 
     found: dict[tuple[bytes, ...], set[str]] = {}
@@ -65,21 +66,23 @@ def automaton(items: Items, window: int = WINDOW):
             found.setdefault(x, set()).add(item)
     if not found:
         return None
-    symbols: dict[bytes, str] = {}
+    names: dict[bytes, str] = dict.fromkeys((w for x in found for w in x), "")
+    width = next(k for k in range(1, 11) if 64**k >= len(names))
+    names = {w: _name(k, width) for k, w in enumerate(names)}
     machine = ahocorasick.Automaton()
     for x, owners in found.items():
-        machine.add_word("".join([symbols.setdefault(w, _symbol(len(symbols))) for w in x]), (len(x), tuple(sorted(owners))))
+        machine.add_word("".join([names[w] for w in x]), (len(x), tuple(sorted(owners))))
     machine.make_automaton()
-    return symbols, machine
+    return names, machine
 
 
 #: Every word that the benchmark does not have.
 _OTHER = "\0"
 
 
-def _symbol(k: int) -> str:
-    """A character for the k-th word; surrogates are no characters."""
-    return chr(k + 1 if k + 1 < 0xD800 else k + 1 + 0x800)
+def _name(k: int, width: int) -> str:
+    """The k-th word in `width` characters, the first of one alphabet of 64, the others of another."""
+    return "".join(chr((0x80 if i else 0x40) + (k >> 6 * i & 63)) for i in range(width))
 
 
 Runs = list[tuple[int, int]]
@@ -103,10 +106,15 @@ def scan(built, text: str | None) -> tuple[int, Runs, set[str]]:
     items: set[str] = set()
     if built is None or not w:
         return len(w), runs, items
-    symbols, machine = built
-    for last, (n, owners) in machine.iter("".join(map(symbols.get, w, repeat(_OTHER)))):
+    names, machine = built
+    named = list(map(names.get, w, repeat(_OTHER)))
+    ends: dict[int, int] = {}  # places in the line where words end, and how many have ended there
+    for last, (n, owners) in machine.iter("".join(named)):
+        if not ends:
+            ends = dict(zip(accumulate(map(len, named)), range(1, len(named) + 1), strict=True))
+        b = ends[last + 1]
+        a = b - n
         items.update(owners)
-        a, b = last + 1 - n, last + 1
         while runs and runs[-1][1] >= a:  # ends never fall
             a = min(a, runs.pop()[0])
         runs.append((a, b))
