@@ -4,6 +4,10 @@ Five stages, each over all that the one before kept: documents without a languag
 the one with the smallest id stays; of each group of near-duplicates one stays; documents that hold a window of a
 benchmark item go; what is left is encoded, decoded and checked. Every stage but the last returns the columns of
 documents.
+
+Nulls and empties: a null or wordless text has no language, so it goes first. Null and repeated ids are rows of their own;
+of copies the row with the smallest id stays, one without an id last. Repeated rows are copies. Columns besides those of
+documents are carried along to the last stage, which keeps doc_id, lang and source. An empty table gives empty results.
 """
 
 from __future__ import annotations

@@ -5,7 +5,9 @@ each record is one frame of its own. Between records stands an empty skippable f
 writer puts after each row: so archives are written and committed by Spark to any of its file systems, and a lost task
 leaves nothing behind. Reading loads whole archives, whose size is bounded by `archive_bytes`, walks the frames by
 their headers, decodes one frame per record, and checks the version line, the header fields, the block's and the
-payload's length, the closing line feeds and the payload's digest. A broken archive raises ValueError.
+payload's length, the closing line feeds and a SHA-256 payload digest. A broken archive raises ValueError. Archives of
+other writers may hold records that are neither responses nor revisits, which are checked and passed over, digests of
+other kinds, which are handed on as they stand, and revisits that do not name a page id, which refer to none.
 
 Of records with equal payloads of at least `least_bytes`, the one with the smallest page id is a response and the
 others revisit it; they hold no payload, only its length and digest. Smaller payloads are always responses.
@@ -81,8 +83,8 @@ def record(page_id: str | None, url: str | None, payload: bytes, size: int, dige
     return "\r\n".join([*head, "", ""]).encode() + block + b"\r\n\r\n"
 
 
-def parse(raw: bytes) -> tuple:
-    """The row of _SCHEMA of one record, checked."""
+def parse(raw: bytes) -> tuple | None:
+    """The row of _SCHEMA of one record, checked; None for records of other types."""
 
     def need(ok: object, what: str) -> None:
         if not ok:
@@ -99,18 +101,19 @@ def parse(raw: bytes) -> tuple:
     need({"warc-type", "warc-record-id", "warc-date", "content-length"} <= fields.keys(), "missing field")
     need(fields["content-length"].isdecimal() and len(rest) == int(fields["content-length"]) + 4, "wrong length")
     need(rest.endswith(b"\r\n\r\n"), "no end of the block")
-    kind, digest = fields["warc-type"], fields.get("warc-payload-digest", "").removeprefix("sha256:")
-    need(kind in ("response", "revisit"), "unknown type")
+    kind, digest = fields["warc-type"], fields.get("warc-payload-digest", "")
+    if kind not in ("response", "revisit"):
+        return None
     http, found, payload = rest[:-4].partition(b"\r\n\r\n")
     length = re.search(rb"\r\nContent-Length: (\d+)", http)
     need(found and length, "no HTTP length")
     size = int(length[1])
     if kind == "response":
         need(len(payload) == size, "wrong payload length")
-        need(hashlib.sha256(payload).hexdigest() == digest, "wrong payload digest")
+        need(not digest.startswith("sha256:") or f"sha256:{hashlib.sha256(payload).hexdigest()}" == digest, "wrong payload digest")
     else:
-        need(not payload and "x-refers-to-page-id" in fields, "a revisit with payload or without its response")
-    return fields.get("x-page-id"), fields.get("warc-target-uri"), size, digest, kind, fields.get("x-refers-to-page-id"), payload if kind == "response" else None
+        need(not payload, "a revisit with payload")
+    return fields.get("x-page-id"), fields.get("warc-target-uri"), size, digest.removeprefix("sha256:"), kind, fields.get("x-refers-to-page-id"), payload if kind == "response" else None
 
 
 def frame_end(raw: memoryview, at: int) -> int:
@@ -200,7 +203,8 @@ def read_archives(spark: SparkSession, path: str, id_type: str = "bigint") -> Da
                 rows: list[tuple] = []
                 held = 0
                 for raw in records(content.as_py()):
-                    rows.append(parse(raw))
+                    row = parse(raw)
+                    rows += [] if row is None else [row]
                     held += len(raw)
                     if held > 4_000_000:
                         yield _batch(rows)

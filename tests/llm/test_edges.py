@@ -327,3 +327,42 @@ def test_starts_follow_numbers_not_names(spark, monkeypatch):
     for tasks in (1024, 1):
         monkeypatch.setattr(wavelet, "TASKS", tasks)
         assert sorted((r.doc_id, r.start, r.n_tokens) for r in wavelet.read_shards(spark, path).collect()) == [(0, 0, 1), (1, 1, 2), (2, 3, 3), (3, 6, 4)]
+
+
+def test_warc_records_of_other_writers():
+    """Records of other types are passed over, foreign digests handed on; lengths are checked all the same."""
+    make = lambda kind, block, *more: "\r\n".join(["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:x>", "WARC-Date: 2020-01-01T00:00:00Z", *more, f"Content-Length: {len(block)}", "", block, "", ""]).encode()
+    http = "HTTP/1.1 200 OK\r\nContent-Length: 2\r\n\r\n"
+    for kind in ("warcinfo", "request", "metadata"):
+        assert warc.parse(make(kind, "software: x")) is None
+        with pytest.raises(ValueError):
+            warc.parse(make(kind, "software: x")[:-1])
+    assert warc.parse(make("response", http + "ok", "WARC-Payload-Digest: sha1:ABC"))[2:] == (2, "sha1:ABC", "response", None, b"ok")
+    assert warc.parse(make("revisit", http, "WARC-Payload-Digest: sha1:ABC"))[2:] == (2, "sha1:ABC", "revisit", None, None)
+
+
+@pytest.mark.parametrize("module", [exact_dedup, minhash])
+def test_columns_that_have_the_names_of_helpers(spark, module):
+    """Own columns stay, whatever they are called, with ids that repeat and without."""
+    prepare(spark)
+    names = ["gone", "row_key", "_row", "_sha", "gone_id", "seq", "comp", "bucket"]
+    text = "one two three four five six seven"
+    for ids, left in (((1, 2, 3), [1, 3]), ((2, 2, 1), [1, 2])):
+        texts = (text, text, "another text with other words in it") if ids[0] == 1 else (text, "another text with other words in it", text)
+        docs = spark.createDataFrame([(i, t, *range(len(names))) for i, t in zip(ids, texts, strict=True)], ["doc_id", "text", *names])
+        kept = module.keep_first(docs)
+        assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == left
+        assert all(tuple(r)[2:] == tuple(range(len(names))) for r in kept.collect())
+
+
+def test_pipeline_stages_on_edges(spark, edges, none):
+    """Every stage takes nulls, repeated ids, other columns and no rows; all but the last keep the columns."""
+    import corpus_pipeline
+
+    for docs in (edges, none):
+        docs = docs.withColumn("source", F.lit("s"))
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, "/root/testdata/sf0.001")
+            assert name == "bpe" or sorted(out.columns) == sorted(docs.columns)
+            assert docs is not none or out.count() == 0
+            out.count()
