@@ -134,7 +134,7 @@ class WaveletMatrix:
         for level in range(bits - 1, -1, -1):
             one = (now & now.dtype.type(1 << level)).astype(bool)
             planes.append(Plane.of(one))
-            now = np.concatenate([now[~one], now[one]])
+            now = np.concatenate([np.compress(~one, now), np.compress(one, now)])
         return cls(len(ids), planes)
 
     def tokens(self) -> np.ndarray:
@@ -145,8 +145,8 @@ class WaveletMatrix:
             one = plane.bits()
             zeros = self.zeros[self.bits - 1 - level]
             before = np.empty(self.n, kind)
-            before[~one] = now[:zeros]
-            before[one] = now[zeros:] | kind.type(1 << level)
+            before[np.flatnonzero(~one)] = now[:zeros]
+            before[np.flatnonzero(one)] = now[zeros:] | kind.type(1 << level)
             now = before
         return now.astype(np.uint32)
 
