@@ -131,6 +131,9 @@ class ForcedBoundaryBPE:
             return [word] if word else []
         if self._pairs.issuperset(zip(word, word[1:], strict=False)):
             return [word]
+        return self._cut(word)
+
+    def _cut(self, word: bytes) -> list[bytes]:
         inside = self._inside
         cuts = [k for k, (a, b) in enumerate(zip(word, word[1:], strict=False), 1) if not inside[a << 8 | b]]
         return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)], strict=True)]
@@ -151,7 +154,7 @@ class ForcedBoundaryBPE:
         if _LETTERS.fullmatch(piece) and not self._lettered:  # one word
             raw = piece.encode()
             if not self._pairs.issuperset(zip(raw, raw[1:])):  # noqa: B905
-                return b"".join([self._fragments[f] for f in self.fragments(raw)])
+                return b"".join([self._fragments[f] for f in self._cut(raw)])
             if len(raw) != len(piece):
                 return self._merge(raw)
             return self._ids(self._space + piece[1:] if piece[0] == " " else piece)
