@@ -20,8 +20,8 @@ from lexiquarry.llm import bpe, decontaminate, exact_dedup, language_id, minhash
 from lexiquarry.llm.common import prepare, stage, table
 
 TOKENIZER = "byte_bpe_50k.json"
-#: Of the encoder's memos: workers and executors keep memory that earlier stages have taken.
-MEMO = (300_000, 50_000)
+#: Of the encoder's memo: workers and executors keep memory that earlier stages have taken.
+MEMO = 300_000
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

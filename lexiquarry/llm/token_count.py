@@ -79,7 +79,7 @@ class Counter:
         try:
             self.bpe = encoder(path)
             self.library = self.bpe.library
-            self.whole = lambda text: len(self.bpe.encode_bytes(text)) // 4
+            self.whole = lambda text: int(self.bpe.counts([text])[0])
         except ValueError:
             from tokenizers import Tokenizer
 
@@ -95,6 +95,12 @@ class Counter:
             return self.whole(text)
         return count_in_chunks(self.library, text, self.chunk, self.overlap)
 
+    def count_all(self, texts: list[str | None]) -> list[int]:
+        if self.bpe is None:
+            return [self.count(t) for t in texts]
+        short = self.bpe.counts([t if t and len(t) <= self.chunk else None for t in texts]).tolist()
+        return [n if not t or len(t) <= self.chunk else self.count(t) for n, t in zip(short, texts, strict=True)]
+
 
 @cache
 def counter(path: str, chunk: int, overlap: int) -> Counter:
@@ -110,7 +116,7 @@ def count_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = counter(path, chunk, overlap)
         for batch in batches:
-            n = [tokens.count(t) for t in batch.column(2).to_pylist()]
+            n = tokens.count_all(batch.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64())], ["doc_id", "n_bytes", "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()

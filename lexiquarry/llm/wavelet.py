@@ -238,23 +238,25 @@ def write_shards(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        bpe, task, end = encoder(tokenizer), TaskContext.get().partitionId(), end_id.to_bytes(4, "little")
-        number, held, doc_ids, raw = 0, 0, [], []
+        bpe, task, end = encoder(tokenizer), TaskContext.get().partitionId(), np.array([end_id], "<u4")
+        number, held, doc_ids, lengths, runs = 0, 0, [], [], []
 
         def shard() -> pa.RecordBatch:
-            blob = pack(doc_ids, [len(x) // 4 for x in raw], np.frombuffer(b"".join(raw), "<u4"))
+            blob = pack(doc_ids, lengths, np.concatenate(runs))
             return pa.RecordBatch.from_arrays([pa.array([f"s{task:06d}-{number:06d}"]), pa.array([blob], pa.binary())], ["shard", "blob"])
 
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = bpe.encode_bytes(text) + end
-                if raw and held + len(ids) // 4 > shard_tokens:
+            ids, ends = bpe.encode_all(batch.column(1).to_pylist())
+            for doc_id, (a, b) in zip(batch.column(0).to_pylist(), pairwise(ends.tolist()), strict=True):
+                n = b - a + 1
+                if held and held + n > shard_tokens:
                     yield shard()
-                    number, held, doc_ids, raw = number + 1, 0, [], []
+                    number, held, doc_ids, lengths, runs = number + 1, 0, [], [], []
                 doc_ids.append(doc_id)
-                raw.append(ids)
-                held += len(ids) // 4
-        if raw:
+                lengths.append(n)
+                runs += [ids[a:b].copy(), end]
+                held += n
+        if held:
             yield shard()
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

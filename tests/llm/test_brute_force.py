@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lexiquarry.llm import bpe, chat, minhash, queries, substring_dedup, token_count
+from lexiquarry.llm import bpe, chat, merges, minhash, queries, substring_dedup, token_count
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -152,6 +152,29 @@ def test_forced_boundaries(library):
     assert not own.inside[ord("q"), ord("\n")]
 
 
+def test_a_full_memo_changes_nothing(library, documents):
+    texts = [t for _, t, _ in documents] + ["x" * 500, "ab" * 40 + " c" * 300, "漢" * 70, None, "", " ", "a <|endoftext|>b"]
+    want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for memo in (2, 50, 3000):
+        own = bpe.ForcedBoundaryBPE(PATH, memo)
+        for at in range(0, len(texts), 17):
+            some = texts[at : at + 17]
+            ids, ends = own.encode_all(some)
+            assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:], strict=False)] == want[at : at + 17]
+            assert own.counts(some).tolist() == list(map(len, want[at : at + 17]))
+
+
+def test_merges_are_the_models(library):
+    rng = random.Random(4)
+    own, shown = bpe.encoder(PATH), bpe.byte_alphabet()
+    words = [bytes(rng.choices(b"aabcehinorst ", k=rng.randint(1, merges.LONGEST))) for _ in range(3000)] + [b"a" * n for n in range(1, merges.LONGEST + 1)]
+    want = [[t.id for t in library.model.tokenize("".join(shown[b] for b in w))] for w in words]
+    lengths = np.array(list(map(len, words)))
+    starts = np.cumsum(lengths) - lengths
+    out = own._merges(own._byte_ids[np.frombuffer(b"".join(words), np.uint8)], starts, lengths)
+    assert [[x for x in out[a : a + n].tolist() if x >= 0] for a, n in zip(starts, lengths, strict=True)] == want
+
+
 def test_chunks_resynchronise(library, documents):
     rng = random.Random(3)
     parts = ["a", "é", "'s", " ", "  ", "\n", "<|endoftext|>", "漢字", "😀", "1", "the", " word", "\t"]
