@@ -25,7 +25,6 @@ import hashlib
 import json
 import re
 from collections.abc import Iterator
-from functools import cache
 from itertools import pairwise
 
 import numpy as np
@@ -33,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexiquarry.llm.common import kept
 from lexiquarry.llm.merges import LONGEST, Merges
 
 #: Pieces kept in the memo, of some 180 bytes each: 75 MB in a Python worker. Twice as many are not faster.
@@ -308,10 +308,9 @@ def certain_pieces(text: str) -> list[str]:
     return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True) if a < b]
 
 
-@cache
 def encoder(path: str, memo: int = MEMO) -> ForcedBoundaryBPE:
-    """One encoder per Python process, file and size of the memos."""
-    return ForcedBoundaryBPE(path, memo)
+    """The encoder of a file and size of the memo, kept in this Python process while no other stage needs the room."""
+    return kept(ForcedBoundaryBPE, path, memo)
 
 
 def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -371,5 +370,5 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[1:], "ids", "n_tokens", "round_trip"])
 
     rows = docs.select(text_col, F.col(id_col).alias("doc_id"), *keep)
-    kept = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
-    return rows.mapInArrow(run, f"{kept}, ids array<int>, n_tokens long, round_trip boolean")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[1:])
+    return rows.mapInArrow(run, f"{fields}, ids array<int>, n_tokens long, round_trip boolean")

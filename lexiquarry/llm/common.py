@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexiquarry.session import shared_root, ship, table
 
-__all__ = ["drop", "fresh", "keyed", "prepare", "shared_path", "slim_rows", "small", "stage", "table"]
+__all__ = ["drop", "fresh", "kept", "keyed", "prepare", "release", "shared_path", "slim_rows", "small", "stage", "table"]
 
 
 #: Rows and bytes of an Arrow batch, where the session has Spark's own values: a worker holds a batch of texts at a time.
@@ -67,6 +71,36 @@ def drop(*frames: DataFrame) -> None:
             hadoop.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+#: What kept() keeps, one object at most.
+_kept: dict[tuple[Any, ...], Any] = {}
+
+
+def kept(build: Callable[..., Any], *args: Any) -> Any:
+    """build(*args), kept in this Python process until something else is.
+
+    Workers outlive stages: what the stages before needed would stand in memory beside what this one needs. Stages that run
+    at the same time and keep different things build theirs anew for each task.
+    """
+    key = (build, args)
+    if key not in _kept:
+        release()
+        made = build(*args)
+        _kept.clear()
+        _kept[key] = made
+    return _kept[key]
+
+
+def release() -> None:
+    """Let go of what kept() keeps, and give its memory back to the system where that can be asked for."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that df does not have, in any case of letters."""
     taken = {c.lower() for c in df.columns}

@@ -21,14 +21,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache, reduce
+from functools import reduce
 from itertools import accumulate, chain, repeat
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexiquarry.llm.common import stage
+from lexiquarry.llm.common import kept, stage
 
 WINDOW = 10
 
@@ -55,7 +55,6 @@ def windows(text: str | None, window: int = WINDOW) -> set[tuple[bytes, ...]]:
 Items = tuple[tuple[str, str | None], ...]
 
 
-@lru_cache(maxsize=1)
 def automaton(items: Items, window: int = WINDOW):
     """Short names of the benchmark's words, and one automaton over the windows of items; None without any."""
     import ahocorasick
@@ -148,7 +147,7 @@ def _hits(rows: DataFrame, items: Items, window: int) -> DataFrame:
     sent = rows.sparkSession.sparkContext.broadcast(items)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        built = automaton(sent.value, window)
+        built = kept(automaton, sent.value, window)
         for batch in batches:
             texts = batch.column(2).to_pylist()
             found = [scan(built, t) for t in texts]
@@ -228,7 +227,7 @@ def keep_clean(
         sent = docs.sparkSession.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            built = automaton(sent.value, window)
+            built = kept(automaton, sent.value, window)
             for batch in batches:
                 yield batch.filter(pa.array([not scan(built, t)[1] for t in batch.column(at).to_pylist()], pa.bool_()))
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexiquarry.llm.common import fresh, keyed, small, stage
+from lexiquarry.llm.common import fresh, keyed, release, small, stage
 
 #: Frequent digests kept in a summary, and the most that are ever broadcast.
 COUNTERS = 1024
@@ -44,6 +44,7 @@ def misra_gries(df: DataFrame, column: str, counters: int = COUNTERS) -> DataFra
     """
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         counts: dict[str, int] = {}
         for batch in batches:
             for x in batch.column(0).value_counts().to_pylist():

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexiquarry.llm.common import drop, fresh, keyed, small, stage
+from lexiquarry.llm.common import drop, fresh, keyed, release, small, stage
 from lexiquarry.llm.components import components, merge_components
 
 SHINGLE, BINS, ROWS = 5, 128, 4
@@ -105,6 +105,7 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    release()
     for batch in batches:
         size, lo, hi, bands = [], [], [], []
         for text in batch.column(2).to_pylist():

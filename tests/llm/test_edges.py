@@ -1,16 +1,18 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns, for every operator."""
 
 import hashlib
+import weakref
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from lexiquarry.llm import bpe, chat, decontaminate, exact_dedup, language_id, minhash, substring_dedup, token_count, warc, wavelet
-from lexiquarry.llm.common import prepare, shared_path
+from lexiquarry.llm.common import kept, prepare, shared_path
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 LONG = "Wer das liest, ist klug und froh. " * 20_000
@@ -366,3 +368,25 @@ def test_pipeline_stages_on_edges(spark, edges, none):
             assert name == "bpe" or sorted(out.columns) == sorted(docs.columns)
             assert docs is not none or out.count() == 0
             out.count()
+
+
+def test_language_id_is_fitted_without_rows_of_python(spark, monkeypatch):
+    train = spark.createDataFrame([(k, text, lang) for k in range(30) for text, lang in ((f"the house {k}", "en"), (f"das Haus {k}", "de"))], "doc_id long, text string, lang string")
+
+    def refused(self):
+        raise AssertionError("Python workers of another kind are started, beside those of the Arrow functions")
+
+    monkeypatch.setattr(RDD, "_to_java_object_rdd", refused)
+    model = language_id.fit(train, sample_docs=10_000)
+    assert (model.langs, model.predict("the house")[0], model.predict("das Haus")[0]) == (["de", "en"], "en", "de")
+
+
+def test_a_worker_keeps_what_one_stage_needs():
+    gone = weakref.ref(bpe.encoder(PATH, 1_000))
+    assert bpe.encoder(PATH, 1_000) is gone()
+    built = kept(decontaminate.automaton, (("a", "one two three"),), 10)
+    assert gone() is None
+    assert kept(decontaminate.automaton, (("a", "one two three"),), 10) is built
+    gone = weakref.ref(bpe.encoder(PATH, 1_000))
+    list(minhash._signatures(iter(())))
+    assert gone() is None
